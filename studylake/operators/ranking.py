@@ -22,7 +22,7 @@ def with_position(
 
     One range shuffle puts the rows in order across partitions, and a key that
     holds any share of the rows is split wherever the later order columns
-    differ. The stamped rows are checkpointed because partition numbers must
+    differ. The stamped rows are written once because partition numbers must
     not change between counting and ranking. What is gathered afterwards is one
     count per partition, so both the single-task sum and the broadcast are
     bounded by the number of shuffle partitions.

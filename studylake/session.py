@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,20 +32,28 @@ def build_session(
     return builder.getOrCreate()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A temporary folder is made only when the setting is absent and the session is
+    local; on a cluster a missing setting is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="studylake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the folder of ``spark.checkpoint.dir``.
+    """``df`` written as a table in the scratch folder and read back.
 
-    The files live in shared storage, so losing an executor loses nothing. A
-    temporary folder is chosen only when the setting is absent and the session
-    is local; on a cluster a missing setting is an error.
+    Cuts the lineage and fixes every value, so partition-dependent columns stay
+    what they were when an executor is lost. Readers still prune columns.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="studylake-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
