@@ -187,7 +187,7 @@ def semantic_count(t: Learning) -> DataFrame:
 # --- expressions ------------------------------------------------------------------------
 
 @query("week_of_offset", f"""
-SELECT day, {q.week('day')} AS week,
+SELECT CAST(day AS INT) AS day, {q.week('day')} AS week,
        CASE WHEN {q.week('day')} <= 10 THEN 1 WHEN {q.week('day')} <= 20 THEN 2 ELSE 3 END AS phase,
        count(*) AS line_count
 FROM (SELECT date_diff('day', o_orderdate, l_shipdate) AS day
@@ -200,7 +200,7 @@ def week_of_offset(t: Learning) -> DataFrame:
 
 @query("day_arithmetic", """
 SELECT o_orderkey, day, DATE '1970-01-01' + day AS as_date,
-       date_diff('day', CAST(o_orderdate AS DATE), DATE '2024-01-10') AS age_days,
+       CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2024-01-10') AS INT) AS age_days,
        DATE '1970-01-01' + day > DATE '2024-01-10' AS in_future
 FROM (SELECT *, CAST(floor(o_totalprice / 10) AS INT) - 20000 AS day FROM orders)""")
 def day_arithmetic(t: Learning) -> DataFrame:

@@ -219,7 +219,12 @@ CTES["p_assessments"] = f"""
 CTES["r_assessments"] = """
   SELECT *, row_number() OVER (PARTITION BY key_id
               ORDER BY ingestion_timestamp DESC, points DESC NULLS LAST, due DESC NULLS LAST,
-                       content DESC) AS row_num,
+                       m DESC NULLS LAST, p DESC NULLS LAST,
+                       CASE kind WHEN 'EXAM' THEN 'Exam' WHEN 'QUIZ' THEN NULL ELSE kind END
+                         DESC NULLS LAST, code_module DESC NULLS LAST,
+                       code_presentation DESC NULLS LAST, id_assessment DESC NULLS LAST,
+                       assessment_type DESC NULLS LAST, date DESC NULLS LAST,
+                       weight DESC NULLS LAST) AS row_num,
          min(content) OVER (PARTITION BY key_id) <> max(content) OVER (PARTITION BY key_id)
            AS key_conflict
   FROM p_assessments"""
@@ -243,7 +248,9 @@ CTES["p_student_assessment"] = f"""
 CTES["r_student_assessment"] = """
   SELECT *, row_number() OVER (PARTITION BY aid, sid
               ORDER BY ingestion_timestamp DESC, day DESC NULLS LAST, points DESC NULLS LAST,
-                       content DESC) AS row_num,
+                       banked DESC NULLS LAST, id_assessment DESC NULLS LAST,
+                       id_student DESC NULLS LAST, date_submitted DESC NULLS LAST,
+                       is_banked DESC NULLS LAST, score DESC NULLS LAST) AS row_num,
          min(content) OVER (PARTITION BY aid, sid) <> max(content) OVER (PARTITION BY aid, sid)
            AS key_conflict
   FROM p_student_assessment"""

@@ -8,6 +8,7 @@ malformed values and a second load, derived from the columns of every row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,18 @@ def _presentation() -> Column:
     return F.concat(_text(F.year("o_orderdate")), F.lit("J"))
 
 
+class Lazy(dict):
+    """Frames by name, each built when first asked for."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
+
+
 class Learning:
     """Bronze, silver and gold frames over one folder of driver tables, all lazy."""
 
@@ -246,22 +259,14 @@ class Learning:
 
     @cached_property
     def bronze(self) -> dict[str, DataFrame]:
-        return {
-            "courses": self.courses(),
-            "assessments": self.assessments(),
-            "vle": self.vle(),
-            "student_info": self.student_info(),
-            "student_registration": self.student_registration(),
-            "student_assessment": self.student_assessment(),
-            "student_vle": self.student_vle(),
-        }
+        return Lazy(lambda name: getattr(self, name)())
 
     # --- further layers ----------------------------------------------------------
 
     @cached_property
     def silver(self) -> dict[str, DataFrame]:
-        return {name: clean(self.bronze[name]) for name, clean in silver.CLEANERS.items()}
+        return Lazy(lambda name: silver.CLEANERS[name](self.bronze[name]))
 
     @cached_property
     def gold(self) -> dict[str, DataFrame]:
-        return gold.build(self.silver, self.spark)
+        return Lazy(lambda name: gold.BUILDERS[name](self.silver, self.gold, self.spark))

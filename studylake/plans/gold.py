@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studylake import schemas
 from studylake.functions import columns as fx
 from studylake.operators import copies
 
+Frames = Mapping[str, DataFrame]
 COURSE = ["code_module", "code_presentation"]
 ENROLLMENT = ["code_module", "code_presentation", "id_student"]
 
@@ -244,32 +246,29 @@ RELATIONSHIPS = [
 ]
 
 
-def build(silver: dict[str, DataFrame], spark: SparkSession) -> dict[str, DataFrame]:
-    """All gold tables as lazy frames over silver frames."""
-    gold = {
-        "dim_course": dim_course(silver["courses"]),
-        "dim_vle": dim_vle(silver["vle"]),
-        "dim_assessment": dim_assessment(silver["assessments"]),
-        "dim_course_phase": dim_course_phase(spark),
-        "dim_course_week": dim_course_week(silver["courses"]),
-        "dim_student": dim_student(silver["student_info"]),
-        "dim_student_enrollment": dim_student_enrollment(
-            silver["student_info"], silver["student_registration"]
-        ),
-        "dim_student_info": dim_student_info(
-            silver["student_info"], silver["student_registration"]
-        ),
-    }
-    gold["fact_student_engagement"] = fact_engagement(
-        silver["student_vle"], gold["dim_course"], gold["dim_student_enrollment"],
-        gold["dim_vle"], gold["dim_course_week"],
-    )
-    gold["fact_student_performance"] = fact_performance(
-        silver["student_assessment"], silver["assessments"], gold["dim_assessment"],
-        gold["dim_course"], gold["dim_student_enrollment"], gold["dim_course_week"],
-    )
-    return gold
-
+# How each table follows from silver frames (s), other gold frames (g) and the session,
+# in an order that meets the dependencies.
+BUILDERS: dict[str, Callable[[Frames, Frames, SparkSession], DataFrame]] = {
+    "dim_course": lambda s, g, spark: dim_course(s["courses"]),
+    "dim_vle": lambda s, g, spark: dim_vle(s["vle"]),
+    "dim_assessment": lambda s, g, spark: dim_assessment(s["assessments"]),
+    "dim_course_phase": lambda s, g, spark: dim_course_phase(spark),
+    "dim_course_week": lambda s, g, spark: dim_course_week(s["courses"]),
+    "dim_student": lambda s, g, spark: dim_student(s["student_info"]),
+    "dim_student_enrollment": lambda s, g, spark: dim_student_enrollment(
+        s["student_info"], s["student_registration"]
+    ),
+    "dim_student_info": lambda s, g, spark: dim_student_info(
+        s["student_info"], s["student_registration"]
+    ),
+    "fact_student_engagement": lambda s, g, spark: fact_engagement(
+        s["student_vle"], g["dim_course"], g["dim_student_enrollment"], g["dim_vle"],
+        g["dim_course_week"],
+    ),
+    "fact_student_performance": lambda s, g, spark: fact_performance(
+        s["student_assessment"], s["assessments"], g["dim_assessment"], g["dim_course"],
+        g["dim_student_enrollment"], g["dim_course_week"],
+    ),
+}
 
 PARTITIONED_BY = {"fact_student_engagement": ("course_id",)}
-DECLARED = schemas.GOLD

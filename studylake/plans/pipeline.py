@@ -68,23 +68,8 @@ def load_gold(lake: Lake, clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
             df = df.hint("rebalance", *partitions)
         result[name] = lake.write("gold", name, df, *partitions)
 
-    info, registration = clean["student_info"], clean["student_registration"]
-    store("dim_course", gold.dim_course(clean["courses"]))
-    store("dim_vle", gold.dim_vle(clean["vle"]))
-    store("dim_assessment", gold.dim_assessment(clean["assessments"]))
-    store("dim_course_phase", gold.dim_course_phase(spark))
-    store("dim_course_week", gold.dim_course_week(clean["courses"]))
-    store("dim_student", gold.dim_student(info))
-    store("dim_student_enrollment", gold.dim_student_enrollment(info, registration))
-    store("dim_student_info", gold.dim_student_info(info, registration))
-    store("fact_student_engagement", gold.fact_engagement(
-        clean["student_vle"], result["dim_course"], result["dim_student_enrollment"],
-        result["dim_vle"], result["dim_course_week"],
-    ))
-    store("fact_student_performance", gold.fact_performance(
-        clean["student_assessment"], clean["assessments"], result["dim_assessment"],
-        result["dim_course"], result["dim_student_enrollment"], result["dim_course_week"],
-    ))
+    for name, build in gold.BUILDERS.items():
+        store(name, build(clean, result, spark))
     return result
 
 

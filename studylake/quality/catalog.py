@@ -87,7 +87,7 @@ def _equal(m: Result) -> Column:
     return F.when(m("source_count") == m("target_count"), "PASS").otherwise("FAIL")
 
 
-def _bronze_to_silver(code: str, bronze: DataFrame, silver: DataFrame) -> Check:
+def bronze_to_silver(code: str, bronze: DataFrame, silver: DataFrame) -> Check:
     return b.layer_retention(
         code, "Bronze to Silver Record Count",
         ("bronze_count", _count(bronze)), ("silver_count", _count(silver)), _shrunk,
@@ -291,7 +291,7 @@ def silver_student_info(silver: DataFrame, bronze: DataFrame) -> list[Check]:
                    _span(credits, "credits")),
         b.in_range("2.3", "BUSINESS_RULE", "Previous Attempts Non-Negative",
                    {"negative_attempts": attempts < 0}, _span(attempts, "attempts")),
-        _bronze_to_silver("3.1", bronze, silver),
+        bronze_to_silver("3.1", bronze, silver),
         b.in_domain("3.2", "CONSISTENCY", "Categorical Domain Values", {
             "invalid_gender": gender,
             "invalid_imd": (F.col("imd_band"), schemas.IMD_BANDS),
@@ -335,7 +335,7 @@ def silver_student_registration(
             "total_withdrawals": b.violations(end.isNotNull()),
             "withdrawal_rate_pct": fx.pct(F.count("date_unregistration"), b.rows()),
         }, status=plausible, description="The withdrawal rate is a percentage."),
-        _bronze_to_silver("3.1", bronze, silver),
+        bronze_to_silver("3.1", bronze, silver),
         b.foreign_key("3.2", "CONSISTENCY", "Referential Integrity to Student Info",
                       "orphaned_registrations", silver, info, ENROLLMENT, bad="WARNING"),
         b.profile("4.1", {
