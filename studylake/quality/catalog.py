@@ -6,6 +6,8 @@ report order. ``as_of`` stands for today, so that a report can be repeated.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -602,48 +604,52 @@ def gold_dim_student_enrollment(
     ]
 
 
+Frames = Mapping[str, DataFrame]
+
+# The checks of each table, from bronze (b), silver (s) and gold (g) frames and the day.
+REPORTS: dict[str, Callable[[Frames, Frames, Frames, Column | None], list[Check]]] = {
+    "bronze_courses": lambda b, s, g, day: bronze_courses(b["courses"]),
+    "bronze_student_info": lambda b, s, g, day: bronze_student_info(b["student_info"], day),
+    "bronze_student_registration": lambda b, s, g, day: bronze_student_registration(
+        b["student_registration"], day
+    ),
+    "bronze_vle": lambda b, s, g, day: bronze_vle(b["vle"]),
+    "silver_courses": lambda b, s, g, day: silver_courses(s["courses"]),
+    "silver_student_info": lambda b, s, g, day: silver_student_info(
+        s["student_info"], b["student_info"]
+    ),
+    "silver_student_registration": lambda b, s, g, day: silver_student_registration(
+        s["student_registration"], b["student_registration"], s["student_info"], day
+    ),
+    "silver_vle": lambda b, s, g, day: silver_vle(s["vle"]),
+    "gold_dim_course": lambda b, s, g, day: gold_dim_course(g["dim_course"], s["courses"]),
+    "gold_dim_course_phase": lambda b, s, g, day: gold_dim_course_phase(g["dim_course_phase"]),
+    "gold_dim_course_week": lambda b, s, g, day: gold_dim_course_week(
+        g["dim_course_week"], g["dim_course_phase"], g["dim_course"]
+    ),
+    "gold_dim_vle": lambda b, s, g, day: gold_dim_vle(g["dim_vle"], s["vle"]),
+    "gold_dim_student": lambda b, s, g, day: gold_dim_student(
+        g["dim_student"], s["student_info"]
+    ),
+    "gold_dim_student_enrollment": lambda b, s, g, day: gold_dim_student_enrollment(
+        g["dim_student_enrollment"], g["dim_student"], s["student_info"]
+    ),
+}
+
+
+def report(
+    name: str, bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None = None
+) -> DataFrame:
+    """The report of one table, named ``<layer>_<table>``."""
+    layer, table = name.split("_", 1)
+    checked = {"bronze": bronze, "silver": silver, "gold": gold}[layer][table]
+    return b.run_checks(
+        checked, REPORTS[name](bronze, silver, gold, as_of), layer.upper(), table
+    )
+
+
 def reports(
-    bronze: dict[str, DataFrame],
-    silver: dict[str, DataFrame],
-    gold: dict[str, DataFrame],
-    as_of: Column | None = None,
+    bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None = None
 ) -> dict[str, DataFrame]:
     """All single-statement reports, one lazy frame per checked table."""
-    plan = {
-        ("BRONZE", "courses"): (bronze["courses"], bronze_courses(bronze["courses"])),
-        ("BRONZE", "student_info"): (
-            bronze["student_info"], bronze_student_info(bronze["student_info"], as_of)),
-        ("BRONZE", "student_registration"): (
-            bronze["student_registration"],
-            bronze_student_registration(bronze["student_registration"], as_of)),
-        ("BRONZE", "vle"): (bronze["vle"], bronze_vle(bronze["vle"])),
-        ("SILVER", "courses"): (silver["courses"], silver_courses(silver["courses"])),
-        ("SILVER", "student_info"): (
-            silver["student_info"],
-            silver_student_info(silver["student_info"], bronze["student_info"])),
-        ("SILVER", "student_registration"): (
-            silver["student_registration"],
-            silver_student_registration(
-                silver["student_registration"], bronze["student_registration"],
-                silver["student_info"], as_of)),
-        ("SILVER", "vle"): (silver["vle"], silver_vle(silver["vle"])),
-        ("GOLD", "dim_course"): (
-            gold["dim_course"], gold_dim_course(gold["dim_course"], silver["courses"])),
-        ("GOLD", "dim_course_phase"): (
-            gold["dim_course_phase"], gold_dim_course_phase(gold["dim_course_phase"])),
-        ("GOLD", "dim_course_week"): (
-            gold["dim_course_week"],
-            gold_dim_course_week(
-                gold["dim_course_week"], gold["dim_course_phase"], gold["dim_course"])),
-        ("GOLD", "dim_vle"): (gold["dim_vle"], gold_dim_vle(gold["dim_vle"], silver["vle"])),
-        ("GOLD", "dim_student"): (
-            gold["dim_student"], gold_dim_student(gold["dim_student"], silver["student_info"])),
-        ("GOLD", "dim_student_enrollment"): (
-            gold["dim_student_enrollment"],
-            gold_dim_student_enrollment(
-                gold["dim_student_enrollment"], gold["dim_student"], silver["student_info"])),
-    }
-    return {
-        f"{layer.lower()}_{table}": b.run_checks(df, checks, layer, table)
-        for (layer, table), (df, checks) in plan.items()
-    }
+    return {name: report(name, bronze, silver, gold, as_of) for name in REPORTS}
