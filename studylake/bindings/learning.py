@@ -62,8 +62,12 @@ class Learning:
         self.spark = spark
         self.folder = folder
 
+    @cached_property
+    def _tables(self) -> dict[str, DataFrame]:
+        return Lazy(lambda name: self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- bronze -------------------------------------------------------------
 

@@ -695,14 +695,14 @@ def dq_distribution(t: Learning) -> DataFrame:
     "max(CAST(ts AS DATE)) AS latest, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) "
     "AS event_type_list", "WHEN TRUE THEN 'INFO'", "events", "Overview of the table."))
 def dq_profile(t: Learning) -> DataFrame:
-    return b.run_check(t.table("events"), b.profile("1", {
+    events = t.table("events")
+    return b.run_check(events, b.profile("1", {
         "total_records": b.rows(),
         "users": F.countDistinct("user_id"),
         "event_types": F.countDistinct("event_type"),
         "earliest": F.min(F.to_date("ts")),
         "latest": F.max(F.to_date("ts")),
-        "event_type_list": value_list("event_type"),
-    }))
+    }, lists={"event_type_list": value_list(events, "event_type")}))
 
 
 @query("dq_completeness", _check_sql(

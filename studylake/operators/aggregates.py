@@ -45,6 +45,17 @@ def parent_mapping(df: DataFrame, child: str, parents: Sequence[str]) -> DataFra
     )
 
 
-def value_list(c: Column | str, separator: str = ", ") -> Column:
-    """Distinct values as one sorted text; meant for columns with a small domain."""
-    return F.concat_ws(separator, F.sort_array(F.collect_set(c)))
+LISTED_VALUES = 1000
+
+
+def value_list(
+    df: DataFrame, column: str, separator: str = ", ", limit: int = LISTED_VALUES
+) -> Column:
+    """The distinct values of a column as one sorted text, as a scalar subquery.
+
+    A text is for small domains: with more than ``limit`` values it is NULL, and
+    never more than that many are gathered. ``distinct_values`` lists any number.
+    """
+    values = df.select(F.col(column).cast("string").alias("v")).distinct().dropna()
+    text = F.concat_ws(separator, F.sort_array(F.collect_list("v")))
+    return values.limit(limit + 1).agg(F.when(F.count("v") <= limit, text)).scalar()

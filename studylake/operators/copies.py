@@ -42,7 +42,8 @@ def collapse_copies(
         F.count(F.lit(1)).alias("n_copies"),
     ]
     if fingerprint is not None:
-        aggregates.append((F.min(fingerprint) != F.max(fingerprint)).alias("key_conflict"))
+        df = df.withColumn("_content", fingerprint)
+        aggregates.append((F.min("_content") != F.max("_content")).alias("key_conflict"))
     grouped = df.groupBy(*keys).agg(*aggregates)
     flags = [c for c in grouped.columns if c not in keys and c != "_best"]
     payload = [F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in columns]
@@ -74,14 +75,11 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _repeated_keys(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+def _repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), *extra)
+        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
-        .select(*[F.col(k).alias(f"_{k}") for k in keys], "_n", *[
-            c for c in ("_conflict",) if extra
-        ])
     )
 
 
@@ -109,31 +107,33 @@ def number_copies(
     """Add ``row_num`` within each key and, with ``fingerprint``, ``key_conflict``.
 
     Equals ROW_NUMBER over the key by ``order`` descending. Keys with one row get
-    1 at once. Rows of repeated keys are placed in one global order; their number
-    is the distance to the first position of the key.
+    1 at once and are not moved when the repeated keys are few. Rows of repeated
+    keys are placed in one global order; their number is the distance to the
+    first position of the key.
     """
-    extra = []
-    if fingerprint is not None:
-        extra = [(F.min(fingerprint) != F.max(fingerprint)).alias("_conflict")]
-    repeated = _repeated_keys(df, keys, *extra)
-    flag = [F.coalesce(F.col("_conflict"), F.lit(False)).alias("key_conflict")] if extra else []
-    tagged = df.join(repeated, _same_key(df, repeated, keys), "left").select(
-        *[df[c] for c in df.columns], "_n", *flag
-    )
-    added = ["key_conflict"] if extra else []
-    singles = tagged.filter(F.col("_n").isNull()).select(
-        *df.columns, F.lit(1).cast("bigint").alias("row_num"), *added
+    columns, content = df.columns, "_content"
+    compared = fingerprint is not None
+    repeated = _repeated_keys(df, keys)
+    same = _same_key(df, repeated, keys)
+    singles = df.join(repeated, same, "left_anti").select(
+        *columns,
+        F.lit(1).cast("bigint").alias("row_num"),
+        *([F.lit(False).alias("key_conflict")] if compared else []),
     )
+    several = df.join(repeated, same, "left_semi")
+    if compared:
+        several = several.withColumn(content, fingerprint)
     ordering = [F.col(k).asc() for k in keys] + [
-        F.col(c).desc_nulls_last() for c in _order_fields(df.columns, keys, order)
+        F.col(c).desc_nulls_last() for c in _order_fields(columns, keys, order)
     ]
-    placed = with_position(
-        tagged.filter(F.col("_n").isNotNull()).drop("_n"), ordering, name="_position"
-    )
+    placed = with_position(several, ordering, name="_position", ties=True)
     starts = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.min("_position").alias("_start")
+        F.min("_position").alias("_start"),
+        *([(F.min(content) != F.max(content)).alias("key_conflict")] if compared else []),
     )
-    copies = placed.join(starts, _same_key(placed, starts, keys)).select(
-        *df.columns, (F.col("_position") - F.col("_start") + 1).alias("row_num"), *added
+    numbered = placed.join(starts, _same_key(placed, starts, keys)).select(
+        *columns,
+        (F.col("_position") - F.col("_start") + 1).alias("row_num"),
+        *(["key_conflict"] if compared else []),
     )
-    return singles.unionByName(copies)
+    return singles.unionByName(numbered)

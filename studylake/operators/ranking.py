@@ -17,22 +17,30 @@ def with_position(
     ordering: Sequence[Column],
     name: str = "position",
     total: str | None = None,
+    ties: bool = False,
 ) -> DataFrame:
     """Add the 0-based rank of each row in the total order ``ordering``.
 
     One range shuffle puts the rows in order across partitions, and a key that
     holds any share of the rows is split wherever the later order columns
-    differ. The stamped rows are written once because partition numbers must
-    not change between counting and ranking. What is gathered afterwards is one
-    count per partition, so both the single-task sum and the broadcast are
-    bounded by the number of shuffle partitions.
+    differ. Rows that may be equal in all of them need ``ties``: every row then
+    gets an id, written before use, as the last order column, so that even a
+    third of all rows being one row repeated is split.
+
+    The stamped rows are written once because partition numbers must not change
+    between counting and ranking. What is gathered afterwards is one count per
+    partition, so both the single-task sum and the broadcast are bounded by the
+    number of shuffle partitions.
     """
-    stamp, part, offset, whole = "_stamp", "_part", "_offset", "_whole"
+    stamp, part, offset, whole, row_id = "_stamp", "_part", "_offset", "_whole", "_row_id"
     columns = df.columns
+    if ties:
+        df = materialize(df.withColumn(row_id, F.monotonically_increasing_id()))
+        ordering = [*ordering, F.col(row_id).asc()]
     stamped = materialize(
         df.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
-        .withColumn(stamp, F.monotonically_increasing_id())
+        .select(*columns, F.monotonically_increasing_id().alias(stamp))
     )
     part_of = F.shiftright(F.col(stamp), _ROW_BITS)
     row_of = F.col(stamp).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))

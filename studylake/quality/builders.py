@@ -3,7 +3,8 @@
 A check is a set of aggregates over a *frame* and a status over their results;
 the status asks for a result by metric name.
 Checks on the same frame are computed together, so a table is scanned once for
-all its row checks, and once more per duplicate or reference test.
+all its row checks, once for its distinct counts, and once more per duplicate or
+reference test.
 
 Sums are NULL on an empty table, and a status that compares them falls through
 to its bad outcome: an empty table never passes a row check.
@@ -28,10 +29,10 @@ Verdict = Callable[[Result], Column]
 
 @dataclass(frozen=True)
 class Check:
-    """``metrics`` are reported; ``hidden`` aggregates serve the status alone.
-
-    ``frame`` None is the table itself. ``derived`` metrics are computed from
-    finished ones.
+    """``metrics`` are reported; ``hidden`` aggregates serve the status alone;
+    ``derived`` metrics are computed from finished ones. ``frame`` None is the
+    table itself. Checks that count ``distinct`` values share a scan of their own,
+    because such counts multiply the rows under every aggregate beside them.
     """
 
     code: str
@@ -43,6 +44,7 @@ class Check:
     frame: DataFrame | None = None
     hidden: Mapping[str, Column] = field(default_factory=dict)
     derived: Mapping[str, Verdict] = field(default_factory=dict)
+    distinct: bool = False
 
 
 def rows() -> Column:
@@ -146,7 +148,7 @@ def unique_by_distinct(
 ) -> Check:
     """Rows minus distinct keys; a row with a NULL key part counts as surplus."""
     return Check(code, "UNIQUENESS", name, {metric: rows() - F.countDistinct(*keys)},
-                 pass_if_none(metric), description)
+                 pass_if_none(metric), description, distinct=True)
 
 
 # --- validity ----------------------------------------------------------------------
@@ -158,18 +160,21 @@ def outside_domain(column: Column, values: Sequence) -> Column:
 
 def in_domain(
     code: str, category: str, name: str, domains: Mapping[str, tuple[Column, Sequence]],
-    extra: Mapping[str, Column] | None = None, also: Mapping[str, Column] | None = None,
+    also: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
+    lists: Mapping[str, Column] | None = None,
     description: str = "Values belong to their domain.", total: bool = True,
 ) -> Check:
-    """``extra`` are further metrics, ``also`` further violations."""
+    """``also`` are further violations, ``counts`` distinct counts, ``lists`` value lists."""
     bad = {m: outside_domain(c, values) for m, (c, values) in domains.items()}
     bad.update(also or {})
     return Check(
         code, category, name,
         {**({"total_records": rows()} if total else {}),
-         **{m: violations(b) for m, b in bad.items()}, **(extra or {})},
+         **{m: violations(b) for m, b in bad.items()}, **(counts or {})},
         pass_if_none("_any"), description,
         hidden={"_any": violations(any_of(list(bad.values())))},
+        derived={m: lambda _, text=text: text for m, text in (lists or {}).items()},
+        distinct=bool(counts),
     )
 
 
@@ -282,16 +287,22 @@ def cross_row_rule(
 
 def distribution(
     code: str, category: str, name: str, metrics: Mapping[str, Column],
-    status: Verdict = info, frame: DataFrame | None = None,
+    status: Verdict = info, frame: DataFrame | None = None, distinct: bool = False,
     description: str = "Distribution, for information.",
 ) -> Check:
-    return Check(code, category, name, metrics, status, description, frame=frame)
+    return Check(code, category, name, metrics, status, description, frame=frame,
+                 distinct=distinct)
 
 
 def profile(
-    code: str, metrics: Mapping[str, Column], name: str = "Table Profile"
+    code: str, metrics: Mapping[str, Column], name: str = "Table Profile",
+    lists: Mapping[str, Column] | None = None,
 ) -> Check:
-    return Check(code, "SUMMARY", name, metrics, info, "Overview of the table.")
+    """An overview, distinct counts included."""
+    return Check(
+        code, "SUMMARY", name, metrics, info, "Overview of the table.", distinct=True,
+        derived={m: lambda _, text=text: text for m, text in (lists or {}).items()},
+    )
 
 
 def distinct_list(
@@ -366,8 +377,13 @@ def run_checks(
 ) -> DataFrame:
     """One row per check: status and a map of its metrics as text."""
     prefixed = {f"c{i}_": check for i, check in enumerate(checks)}
-    own = {p: c for p, c in prefixed.items() if c.frame is None}
-    frames = [_compute(table, own)] if own else []
+    frames = []
+    for distinct in (False, True):
+        own = {
+            p: c for p, c in prefixed.items() if c.frame is None and c.distinct == distinct
+        }
+        if own:
+            frames.append(_compute(table, own))
     frames += [
         _compute(c.frame, {p: c}) for p, c in prefixed.items() if c.frame is not None
     ]

@@ -146,14 +146,14 @@ def bronze_student_info(bronze: DataFrame, as_of: Column | None = None) -> list[
         b.in_domain(
             "2.1", "BUSINESS_RULE", "IMD Band Domain Values",
             {"invalid_imd_band": (F.col("imd_band"), BANDS_OR_UNKNOWN)}, total=False,
-            extra={"distinct_values": F.countDistinct("imd_band"),
-                   "unique_imd_values": value_list("imd_band")},
+            counts={"distinct_values": F.countDistinct("imd_band")},
+            lists={"unique_imd_values": value_list(bronze, "imd_band")},
         ),
         b.in_domain(
             "2.2", "BUSINESS_RULE", "Final Result Domain",
             {"invalid_results": (fx.norm_code(F.col("final_result")), RESULTS_UPPER)},
-            extra={"distinct_values": F.countDistinct("final_result"),
-                   "unique_final_results": value_list("final_result")},
+            counts={"distinct_values": F.countDistinct("final_result")},
+            lists={"unique_final_results": value_list(bronze, "final_result")},
         ),
         b.in_range(
             "2.3", "BUSINESS_RULE", "Reasonable Credit Load",
@@ -364,7 +364,8 @@ def silver_vle(silver: DataFrame) -> list[Check]:
             "unstandardized_activity_types": ("activity_type", F.trim(F.col("activity_type")))
         }),
         b.distribution("2.2", "BUSINESS_RULE", "Activity Type Coverage",
-                       {"distinct_activity_types": F.countDistinct("activity_type")}),
+                       {"distinct_activity_types": F.countDistinct("activity_type")},
+                       distinct=True),
         b.profile("3.1", {
             "row_count": b.rows(),
             "duplicate_records": b.rows() - F.countDistinct("id_site"),
@@ -487,15 +488,15 @@ def gold_dim_student(dim: DataFrame, silver_info: DataFrame) -> list[Check]:
         b.in_domain(
             "2.1", "BUSINESS_RULE", "Categorical Domain Values",
             {"invalid_imd_band": (F.col("imd_band"), schemas.IMD_BANDS)},
-            extra={"distinct_genders": count("gender"),
-                   "distinct_education_levels": count("highest_education"),
-                   "distinct_age_bands": count("age_band"),
-                   "distinct_imd_bands": count("imd_band"),
-                   "distinct_regions": count("region")},
+            counts={"distinct_genders": count("gender"),
+                    "distinct_education_levels": count("highest_education"),
+                    "distinct_age_bands": count("age_band"),
+                    "distinct_imd_bands": count("imd_band"),
+                    "distinct_regions": count("region")},
         ),
         b.distribution("2.2", "BUSINESS_RULE", "Dimension Cardinality",
                        {"unique_students": count("student_id"), "total_records": b.rows()},
-                       status=cardinal, description="One row per student."),
+                       status=cardinal, distinct=True, description="One row per student."),
         b.layer_retention(
             "3.1", "Student Count - Silver vs Gold",
             ("silver_students", _count_distinct(silver_info, "id_student")),
@@ -547,8 +548,8 @@ def gold_dim_student_enrollment(
         b.in_domain(
             "2.1", "BUSINESS_RULE", "Final Result Domain",
             {"invalid_results": (result, RESULTS_UPPER)},
-            extra={"distinct_results": F.countDistinct("final_result"),
-                   "unique_final_results": value_list("final_result")},
+            counts={"distinct_results": F.countDistinct("final_result")},
+            lists={"unique_final_results": value_list(dim, "final_result")},
         ),
         b.distribution("2.2", "BUSINESS_RULE", "Enrollment Outcome Distribution", {
             "total_enrollments": b.rows(),

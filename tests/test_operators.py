@@ -147,6 +147,25 @@ def test_parent_mapping(spark, rows):
     assert rows(aggregates.parent_mapping(frame, "k", ["m"])) == [(1, 1, "a"), (2, 2, "a")]
 
 
-def test_value_list_is_sorted(spark):
+def test_value_list_is_sorted_and_bounded(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string")
-    assert frame.agg(aggregates.value_list("v")).first()[0] == "a, b"
+    one = spark.range(1)
+    assert one.select(aggregates.value_list(frame, "v")).first()[0] == "a, b"
+    assert one.select(aggregates.value_list(frame, "v", limit=1)).first()[0] is None
+
+
+def test_copies_of_one_row_are_split(spark):
+    """A third of all rows are one row repeated: its numbers come from several tasks."""
+    frame = spark.range(60000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9001).cast("int").alias("k"),
+        F.lit(1).alias("t"), F.lit("x").alias("v"))
+    placed = ranking.with_position(
+        frame, [F.col("k").asc(), F.col("t").desc(), F.col("v").desc()], "p", ties=True)
+    hot = placed.filter("k = 0")
+    assert hot.agg(F.countDistinct("p")).first()[0] == hot.count() > 20000
+    assert hot.agg(F.max("p") - F.min("p") + 1).first()[0] == hot.count()
+    parts = hot.select(F.spark_partition_id().alias("i")).groupBy("i").count()
+    assert parts.agg(F.max("count")).first()[0] < hot.count()
+    got = copies.number_copies(frame, ["k"], ["t"]).filter("k = 0")
+    assert got.agg(F.max("row_num"), F.countDistinct("row_num")).first()[0:2] == (
+        hot.count(), hot.count())
