@@ -825,10 +825,9 @@ def overall_health(t: Learning) -> DataFrame:
 
 @query("gated_lookup", """
 SELECT l_orderkey, l_linenumber, o_custkey, o_orderstatus FROM lineitem
-LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus = 'F'""")
+LEFT JOIN orders ON l_orderkey = o_orderkey AND l_linenumber = 1""")
 def gated_lookup(t: Learning) -> DataFrame:
     lines = t.table("lineitem").select("l_orderkey", "l_linenumber")
     orders = t.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return joins.gated_lookup(
-        lines, orders, {"l_orderkey": "o_orderkey"}, gate=orders["o_orderstatus"] == "F"
-    ).drop("o_orderkey")
+    return joins.lookup(
+        lines, orders, {"l_orderkey": "o_orderkey"}, gate=lines["l_linenumber"] == 1)

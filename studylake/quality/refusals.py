@@ -9,18 +9,11 @@ from pyspark.sql import functions as F
 
 from studylake import schemas
 from studylake.functions import columns as fx
-from studylake.operators import copies
+from studylake.operators import copies, joins
 from studylake.plans.silver import CleanSpec
 from studylake.quality.report import one_row
 
 
-def _in_silver(rows: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with ``_found`` set where silver holds their key; a NULL key is never found."""
-    return rows.join(
-        silver.select(*keys).distinct().withColumn("_found", F.lit(True)), list(keys), "left"
-    )
-
-
 def refused_rows(bronze: DataFrame, silver: DataFrame, spec: CleanSpec) -> DataFrame:
     """Bronze rows, as received, that are absent from silver or surplus copies of a key.
 
@@ -34,7 +27,7 @@ def refused_rows(bronze: DataFrame, silver: DataFrame, spec: CleanSpec) -> DataF
     numbered = copies.number_copies(
         spec.parse(received), spec.keys, spec.order, spec.content()
     )
-    lost = _in_silver(numbered, silver, spec.keys).filter(
+    lost = joins.flag_matches(numbered, silver, spec.keys, "_found").filter(
         F.col("_found").isNull() | (F.col("row_num") > 1)
     )
     about_key = {r.reason: r.violated() for r in spec.rules if r.about_key}
@@ -68,7 +61,7 @@ def refused_count(parsed: DataFrame, silver: DataFrame, keys: Sequence[str]) ->
     """Number of refused rows, from one count per key: no row is numbered for it."""
     per_key = parsed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     lost = F.when(F.col("_found"), F.col("_n") - 1).otherwise(F.col("_n"))
-    return _in_silver(per_key, silver, keys).agg(
+    return joins.flag_matches(per_key, silver, keys, "_found").agg(
         F.coalesce(F.sum(lost), F.lit(0)).alias("refused_records")
     )
 

@@ -118,7 +118,7 @@ def bronze_assessment_stats(assessments: DataFrame, courses: DataFrame) -> DataF
         F.sum(F.when(coursework, c("weight_num"))).alias("coursework_total"),
     )
     complete = c("module_text").isNotNull() & c("presentation_text").isNotNull()
-    totals = per_course.join(parents.withColumn("_known", F.lit(True)), keys, "left").agg(
+    totals = joins.flag_matches(per_course, parents, keys, "_known").agg(
         *_add_up(["total_records", *rules]),
         _sum_where(complete & _off_total(c("coursework_total")), "coursework_rows").alias(
             "weight_total_violations"
@@ -236,25 +236,20 @@ def bronze_submission_stats(
     pairs = parsed.groupBy("assessment_id", "student_id").agg(
         F.count(F.lit(1)).alias("total_records"), *_count_ifs(rules)
     )
-    mapped = pairs.join(
-        mapping.withColumn("_assessment", F.lit(True)), "assessment_id", "left"
+    mapped = joins.lookup(
+        pairs, mapping.withColumn("_assessment", F.lit(True)), ["assessment_id"]
     ).withColumn("_usable", fx.present(
         (c("mapping_count") == 1) & c("code_module").isNotNull()
         & c("code_presentation").isNotNull()
     ))
-    keys = enrolled.select(
-        c("student_id").alias("_student"), *[c(k).alias(f"_{k}") for k in course],
-        F.lit(True).alias("_enrolled"),
-    )
-    placed = joins.gated_lookup(
-        mapped, keys,
-        {"student_id": "_student", **{k: f"_{k}" for k in course}},
+    placed = joins.lookup(
+        mapped, enrolled.withColumn("_enrolled", F.lit(True)), ["student_id", *course],
         gate=mapped["mapping_count"] == 1,
     )
-    anywhere = enrolled.select("student_id").distinct().withColumn("_anywhere", F.lit(True))
+    anywhere = joins.flag_matches(placed, enrolled, ["student_id"], "_anywhere")
     known, evaluable = c("_assessment").isNotNull(), c("student_id").isNotNull() & c("_usable")
     n = c("total_records")
-    totals = placed.join(anywhere, "student_id", "left").agg(
+    totals = anywhere.agg(
         *_add_up(["total_records", *rules]),
         _sum_where(c("assessment_id").isNotNull() & ~known, "total_records").alias(
             "assessment_orphans"
@@ -368,11 +363,8 @@ def evaluate_assessments(assessments: DataFrame, courses: DataFrame) -> DataFram
         .groupBy(*course)
         .agg(F.sum("weight").alias("coursework_total"))
     )
-    return (
-        copies.with_key_occurrences(assessments, ["id_assessment"])
-        .join(keys, course, "left")
-        .join(totals, course, "left")
-    )
+    rows = copies.with_key_occurrences(assessments, ["id_assessment"])
+    return joins.lookup(joins.lookup(rows, keys, course), totals, course)
 
 
 def assessment_rules() -> dict[str, Column]:
@@ -483,26 +475,17 @@ def evaluate_submissions(
     """Silver submissions with their assessment, enrollment and registration beside them."""
     course = ["code_module", "code_presentation"]
     enrollment = ["id_student", *course]
-    anywhere = info.select("id_student").distinct().withColumn(
-        "student_exists_anywhere", F.lit(True)
+    parent = assessments.select(
+        "id_assessment", *course, F.lit(True).alias("matched_assessment")
     )
-    return (
-        copies.with_key_occurrences(submissions, ["id_assessment", "id_student"])
-        .join(
-            assessments.select(
-                "id_assessment", *course, F.lit(True).alias("matched_assessment")
-            ),
-            "id_assessment", "left",
-        )
-        .join(anywhere, "id_student", "left")
-        .join(
-            info.select(
-                *enrollment, "num_of_prev_attempts", F.lit(True).alias("matched_enrollment")
-            ),
-            enrollment, "left",
-        )
-        .join(registration.select(*enrollment, "date_registration"), enrollment, "left")
+    enrolled = info.select(
+        *enrollment, "num_of_prev_attempts", F.lit(True).alias("matched_enrollment")
     )
+    rows = copies.with_key_occurrences(submissions, ["id_assessment", "id_student"])
+    rows = joins.lookup(rows, parent, ["id_assessment"])
+    rows = joins.flag_matches(rows, info, ["id_student"], "student_exists_anywhere")
+    rows = joins.lookup(rows, enrolled, enrollment)
+    return joins.lookup(rows, registration.select(*enrollment, "date_registration"), enrollment)
 
 
 def submission_rules() -> dict[str, Column]:

@@ -129,10 +129,37 @@ def test_orphans_and_parents(spark, rows):
 
 
 def test_gate_blocks_a_match(spark, rows):
-    left = spark.createDataFrame([(1,), (2,)], "k int")
-    right = spark.createDataFrame([(1, 1), (2, 2)], "r int, n int")
-    got = joins.gated_lookup(left, right, {"k": "r"}, gate=right["n"] == 1)
-    assert rows(got) == [(1, 1, 1), (2, None, None)]
+    left = spark.createDataFrame([(1, 1), (2, 2), (None, 1)], "k int, n int")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "r int, v string")
+    got = joins.lookup(left, right, {"k": "r"}, gate=left["n"] == 1)
+    assert rows(got) == [(1, 1, "a"), (2, 2, None), (None, 1, None)]
+    flagged = joins.flag_matches(left, right.toDF("k", "v"), ["k"], "f")
+    assert rows(flagged) == [(1, 1, True), (2, 2, True), (None, 1, None)]
+
+
+def test_a_hot_key_is_split_in_a_lookup(spark):
+    """Adaptive execution reports a skewed join although the other side is grouped."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        left = spark.range(90000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"),
+            F.xxhash64("id").alias("v"))
+        right = spark.range(20000).select((F.col("id") % 5000).alias("k"))
+        joined = joins.flag_matches(left, right, ["k"], "f")
+        assert len(joined.collect()) == 90000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_duplicate_stats(spark):
@@ -159,13 +186,23 @@ def test_copies_of_one_row_are_split(spark):
     frame = spark.range(60000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9001).cast("int").alias("k"),
         F.lit(1).alias("t"), F.lit("x").alias("v"))
-    placed = ranking.with_position(
-        frame, [F.col("k").asc(), F.col("t").desc(), F.col("v").desc()], "p", ties=True)
-    hot = placed.filter("k = 0")
-    assert hot.agg(F.countDistinct("p")).first()[0] == hot.count() > 20000
-    assert hot.agg(F.max("p") - F.min("p") + 1).first()[0] == hot.count()
-    parts = hot.select(F.spark_partition_id().alias("i")).groupBy("i").count()
-    assert parts.agg(F.max("count")).first()[0] < hot.count()
+    order = [F.col("k").asc(), F.col("t").desc(), F.col("v").desc()]
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",  # keep the ranges apart
+        "spark.sql.files.maxPartitionBytes": "1k",  # and read each in its own task
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = ranking.with_position(frame, order, "p", ties=True).filter("k = 0")
+        n = hot.count()
+        parts = hot.select(F.spark_partition_id().alias("i")).groupBy("i").count()
+        assert parts.agg(F.max("count")).first()[0] < n / 2
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert n > 20000
+    assert hot.agg(F.countDistinct("p"), F.max("p") - F.min("p") + 1).first()[0:2] == (n, n)
     got = copies.number_copies(frame, ["k"], ["t"]).filter("k = 0")
-    assert got.agg(F.max("row_num"), F.countDistinct("row_num")).first()[0:2] == (
-        hot.count(), hot.count())
+    assert got.agg(F.max("row_num"), F.countDistinct("row_num")).first()[0:2] == (n, n)
