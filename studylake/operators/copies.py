@@ -68,18 +68,18 @@ def keep_agreeing_latest(
     return kept.filter(~F.col("key_conflict")).select(*columns)
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, NULL equal to NULL; the right side's are named ``_<key>``."""
     condition = F.lit(True)
     for k in keys:
         condition = condition & left[k].eqNullSafe(right[f"_{k}"])
     return condition
 
 
-def _repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return (
-        df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > 1)
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key as ``_n``, keys renamed to ``_<key>``."""
+    return df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n")
     )
 
 
@@ -91,49 +91,61 @@ def with_key_occurrences(
     Only repeated keys are joined back. In clean data they are few, and the wide
     rows then meet a small adaptive broadcast instead of a shuffle.
     """
-    repeated = _repeated_keys(df, keys)
-    return df.join(repeated, _same_key(df, repeated, keys), "left").select(
+    repeated = key_counts(df, keys).filter(F.col("_n") > 1)
+    return df.join(repeated, same_key(df, repeated, keys), "left").select(
         *[df[c] for c in df.columns],
         F.coalesce(F.col("_n"), F.lit(1)).alias(name),
     )
 
 
-def number_copies(
+def number_counted(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     fingerprint: Column | None = None,
+    count: str = "_n",
 ) -> DataFrame:
-    """Add ``row_num`` within each key and, with ``fingerprint``, ``key_conflict``.
+    """``number_copies`` for rows that already carry the row count of their key.
 
-    Equals ROW_NUMBER over the key by ``order`` descending. Keys with one row get
-    1 at once and are not moved when the repeated keys are few. Rows of repeated
-    keys are placed in one global order; their number is the distance to the
-    first position of the key.
+    Keys with one row get 1 at once. Rows of repeated keys are placed in one
+    global order; their number is the distance to the first position of the key.
     """
-    columns, content = df.columns, "_content"
+    columns, content = [c for c in df.columns if c != count], "_content"
     compared = fingerprint is not None
-    repeated = _repeated_keys(df, keys)
-    same = _same_key(df, repeated, keys)
-    singles = df.join(repeated, same, "left_anti").select(
+    singles = df.filter(F.col(count) == 1).select(
         *columns,
         F.lit(1).cast("bigint").alias("row_num"),
         *([F.lit(False).alias("key_conflict")] if compared else []),
     )
-    several = df.join(repeated, same, "left_semi")
+    several = df.filter(F.col(count) > 1)
     if compared:
         several = several.withColumn(content, fingerprint)
     ordering = [F.col(k).asc() for k in keys] + [
         F.col(c).desc_nulls_last() for c in _order_fields(columns, keys, order)
     ]
-    placed = with_position(several, ordering, name="_position", ties=True)
+    placed = with_position(several.drop(count), ordering, name="_position", ties=True)
     starts = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.min("_position").alias("_start"),
         *([(F.min(content) != F.max(content)).alias("key_conflict")] if compared else []),
     )
-    numbered = placed.join(starts, _same_key(placed, starts, keys)).select(
+    numbered = placed.join(starts, same_key(placed, starts, keys)).select(
         *columns,
         (F.col("_position") - F.col("_start") + 1).alias("row_num"),
         *(["key_conflict"] if compared else []),
     )
     return singles.unionByName(numbered)
+
+
+def number_copies(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fingerprint: Column | None = None,
+) -> DataFrame:
+    """Add ``row_num`` within each key and, with ``fingerprint``, ``key_conflict``.
+
+    Equals ROW_NUMBER over the key by ``order`` descending, with every further
+    column as tie-break, but no task holds the rows of one key.
+    """
+    counted = with_key_occurrences(df, keys, "_n")
+    return number_counted(counted, keys, order, fingerprint)

@@ -11,6 +11,7 @@ from studylake import schemas
 from studylake.operators.upsert import merge_upsert
 from studylake.plans import analytics, gold, silver
 from studylake.quality import audit, catalog, structured
+from studylake.session import materialize
 from studylake.sources import raw, tables
 from studylake.sources.tables import Lake
 
@@ -40,12 +41,29 @@ def load_bronze(lake: Lake, folder: str, as_of: datetime) -> dict[str, DataFrame
     }
 
 
+# Tables whose rows are one per key by the way they are made; the others are checked.
+ONE_ROW_PER_KEY = {
+    "assessments", "student_info", "student_registration", "student_assessment", "student_vle",
+    "dim_student",
+}
+
+
+def _merge(
+    lake: Lake, layer: str, table: str, batch: DataFrame, keys: list[str]
+) -> DataFrame:
+    """The current version with ``batch`` merged in; a batch read twice is stored first."""
+    target, check = lake.read(layer, table), table not in ONE_ROW_PER_KEY
+    if check or target is not None:
+        batch = materialize(batch)
+    return merge_upsert(target, batch, keys, check=check)
+
+
 def load_silver(lake: Lake, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Clean every table and merge it into the current silver version."""
     result = {}
     for table, clean in silver.CLEANERS.items():
         batch = tables.to_schema(clean(bronze[table]), schemas.SILVER[table])
-        merged = merge_upsert(lake.read("silver", table), batch, schemas.SILVER_KEYS[table])
+        merged = _merge(lake, "silver", table, batch, schemas.SILVER_KEYS[table])
         result[table] = lake.write("silver", table, merged)
     return result
 
@@ -62,7 +80,7 @@ def load_gold(lake: Lake, clean: dict[str, DataFrame]) -> dict[str, DataFrame]:
         if name in schemas.GOLD:
             df = tables.to_schema(df, schemas.GOLD[name])
         if name in schemas.GOLD_KEYS:
-            df = merge_upsert(lake.read("gold", name), df, schemas.GOLD_KEYS[name])
+            df = _merge(lake, "gold", name, df, schemas.GOLD_KEYS[name])
         partitions = gold.PARTITIONED_BY.get(name, ())
         if partitions:
             df = df.hint("rebalance", *partitions)

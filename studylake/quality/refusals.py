@@ -12,6 +12,7 @@ from studylake.functions import columns as fx
 from studylake.operators import copies, joins
 from studylake.plans.silver import CleanSpec
 from studylake.quality.report import one_row
+from studylake.session import materialize
 
 
 def refused_rows(bronze: DataFrame, silver: DataFrame, spec: CleanSpec) -> DataFrame:
@@ -19,17 +20,24 @@ def refused_rows(bronze: DataFrame, silver: DataFrame, spec: CleanSpec) -> DataF
 
     Membership follows from the outcome. The reason restates the spec's rules in
     order; ``other_unspecified`` would mean that the two have drifted apart.
+    Which keys are concerned is settled on key columns alone and written once, so
+    the accepted rows are read but not moved.
     """
     if spec.content is None:
         raise ValueError(f"{spec.table}: copies are not compared, so none is refused as such")
     raw = schemas.RAW_COLUMNS[spec.table]
-    received = bronze.withColumns({f"_raw_{c}": F.col(c) for c in raw})
-    numbered = copies.number_copies(
-        spec.parse(received), spec.keys, spec.order, spec.content()
-    )
-    lost = joins.flag_matches(numbered, silver, spec.keys, "_found").filter(
-        F.col("_found").isNull() | (F.col("row_num") > 1)
+    parsed = spec.parse(bronze.withColumns({f"_raw_{c}": F.col(c) for c in raw}))
+    counts = copies.key_counts(parsed, spec.keys)
+    names = {f"_{k}": k for k in spec.keys}
+    present = silver.select(*spec.keys).distinct().withColumn("_found", F.lit(True))
+    concerned = materialize(
+        joins.lookup(counts, present, names).filter(
+            F.col("_found").isNull() | (F.col("_n") > 1)
+        )
     )
+    rows = parsed.join(concerned, copies.same_key(parsed, concerned, spec.keys)).drop(*names)
+    numbered = copies.number_counted(rows, spec.keys, spec.order, spec.content())
+    lost = numbered.filter(F.col("_found").isNull() | (F.col("row_num") > 1))
     about_key = {r.reason: r.violated() for r in spec.rules if r.about_key}
     about_row = {r.reason: r.violated() for r in spec.rules if not r.about_key}
     order = {
