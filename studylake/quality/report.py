@@ -13,8 +13,11 @@ from studylake.functions import columns as fx
 
 
 def one_row(*frames: DataFrame) -> DataFrame:
-    """One-row frames side by side."""
-    return reduce(DataFrame.crossJoin, frames)
+    """One-row frames side by side: stacked, then the only value of each column kept."""
+    if len(frames) == 1:
+        return frames[0]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def dq_stats(
