@@ -12,6 +12,7 @@ from studylake.bindings.learning import AS_OF, Learning
 from studylake.bindings.registry import query
 from studylake.quality import builders as b
 from studylake.quality import catalog
+from studylake.session import materialize
 
 TODAY = f"DATE '{AS_OF}'"
 BANDS = "('0-10%', '10-20%', '20-30%', '30-40%', '40-50%', '50-60%', '60-70%', '70-80%', '80-90%', '90-100%'"
@@ -561,6 +562,11 @@ def _metric_rows(report: DataFrame) -> DataFrame:
 def _register() -> None:
     for name, parts in REPORTS.items():
         def build(t: Learning, name: str = name) -> DataFrame:
+            """The checks look at tables at rest: what they scan repeatedly is stored first."""
+            layer, table = name.split("_", 1)
+            if layer != "bronze":
+                frames = getattr(t, layer)
+                frames[table] = materialize(frames[table])
             day = F.lit(AS_OF).cast("date")
             return _metric_rows(catalog.report(name, t.bronze, t.silver, t.gold, day))
 
