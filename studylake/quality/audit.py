@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from studylake.operators import joins
 from studylake.operators.upsert import merge_upsert
 from studylake.quality.report import one_row
+from studylake.session import materialize
 
 ACCEPTABLE_BELOW, WARNING_UP_TO = 5, 10  # percent of rows dropped
 
 
 def record_audit(audit: DataFrame | None, counts: DataFrame) -> DataFrame:
-    """The audit trail with the counts of one inspection; repeating it changes nothing else."""
-    return merge_upsert(audit, counts, ["LoadDate", "source_file"])
+    """The audit trail with the counts of one inspection; repeating it changes nothing else.
+
+    Counting reads every source, so the few counts are written before the merge uses them.
+    """
+    return merge_upsert(audit, materialize(counts), ["LoadDate", "source_file"])
 
 
 def audit_report(audit: DataFrame) -> DataFrame:
