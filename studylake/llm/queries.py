@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studylake.llm import line_dedup, quality_rules
+from studylake.llm import (
+    bpe,
+    decontamination,
+    language_id,
+    line_dedup,
+    near_dedup,
+    quality_rules,
+    sharding,
+    token_counts,
+    url_filters,
+    warc,
+)
 from studylake.llm.registry import QUERIES, SQL, query, table  # noqa: F401
+from studylake.session import scratch_folder
 
 
 @query("op5_quality_rules")
@@ -31,3 +46,78 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         F.length("text").cast("long").alias("n_chars_kept"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op3_near_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op1_token_counts")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_counts.byte_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, pieces).drop("text")
+
+
+@query("op10_sharding")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shuffle_into_shards(table(spark, folder, "documents"), shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op7_url_filters")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    rules = url_filters.rule_table(spark, {
+        "net/": "block", "example.net/en/": "allow", "example.com/de/": "block",
+        "org/fr/": "allow"})
+    judged = url_filters.judge_urls(table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "template_share")
+
+
+@query("op4_warc")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    warc.write_warc(warc.plan_records(table(spark, folder, "pages")), path)
+    read = warc.read_warc(spark, path, payload="response")
+
+    def page(name: str) -> Column:
+        return F.regexp_extract(name, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+
+    return read.select(
+        page("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), "payload_digest").alias("payload_digest"),
+        "record_type", page("refers_to").alias("refers_to"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    train = docs.filter(~F.coalesce(held_out, F.lit(False))).select("doc_id", "text", "lang")
+    model = language_id.fit(train)
+    asked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return language_id.predict(asked, model).select(
+        "doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
