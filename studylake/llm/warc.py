@@ -15,7 +15,6 @@ leftovers of lost tasks are never read.
 from __future__ import annotations
 
 import base64
-import io
 import json
 import struct
 import uuid
@@ -265,7 +264,7 @@ class WarcReader(ds.DataSourceReader):
         kinds = _arrow_schema()
         rows, held = [], 0
         for path, size in partition.value:
-            with system.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 17) as file:
+            with system.open_input_file(path) as file:
                 read = read_gzip if path.endswith(".gz") else read_plain
                 for fields, payload in read(file, size, wanted):
                     rows.append(fields | {"payload": payload})
@@ -306,7 +305,8 @@ class WarcWriter(ds.DataSourceArrowWriter):
                         record = compress_record(record)
                     if file is None:
                         names.append(f"{uuid.uuid4().hex}.warc{'.gz' if self.packed else ''}")
-                        file, size = system.open_output_stream(f"{base}/{names[-1]}"), 0
+                        file, size = system.open_output_stream(
+                            f"{base}/{names[-1]}", compression=None), 0
                     file.write(record)
                     size += len(record)
                     if size >= self.roll:
