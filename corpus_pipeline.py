@@ -8,13 +8,15 @@ of ``documents``. ``n_chars`` follows the text where a stage changes it.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studylake.llm import line_dedup, quality_rules
+from studylake.llm import bpe, decontamination, line_dedup, near_dedup, quality_rules
 from studylake.session import materialize
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The vocabulary file of the last stage.
+VOCABULARY = "word_bpe_49k.json"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +35,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .otherwise(F.col("n_chars")).alias("n_chars"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share 80 % of their five-word shingles, the first stays."""
+    return near_dedup.keep_one(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents with ten words in a row of a benchmark item, or a shorter item."""
+    return decontamination.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, packed, with their number and the text they decode to."""
+    path = public_tokenizers.path(VOCABULARY)
+    encoded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return encoded.withColumn("n_tokens", F.floor(F.octet_length("ids") / 4)).select(
+        "doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded")
+
+
 STAGES = [
     ("quality rules", quality),
     ("line dedup", lines),
+    ("near dedup", near_copies),
+    ("decontamination", benchmark),
+    ("bpe", tokens),
 ]
 
 #: No SQL expresses the chunk boundaries, the sketches or the token ids.
