@@ -8,8 +8,8 @@ Chunks of at least two lines, and long lines, are compared over all texts. Of
 chunks that are equal byte for byte the first by (doc_id, place) stays, the
 others are removed. Only built-in functions are used.
 
-Shuffled are hashes first, then the text of chunks whose hash occurs more than
-once, and at last the texts, with the places that are to go.
+Hashes of chunks are shuffled first; then the texts, once, to meet the places whose
+hash occurs again; at last the text of those chunks alone, to be compared.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ DIVISOR = 4
 LONG_LINE = 50
 
 _CHUNK = "array<struct<start:int,size:int>>"
+_CHUNKS, _PLACES, _UNEQUAL = "_chunk_texts", "_repeated_places", "_unequal_places"
 
 
 def _split_lines(text: Column) -> Column:
@@ -77,6 +78,10 @@ def with_chunks(
     return docs.withColumn(name, chunks)
 
 
+def _chunk_hash(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def _comparable(chunk: Column, long_line: int) -> Column:
     """More than one line, or one long line, and at least one word."""
     return (chunk.contains("\n") & (F.size(words(chunk)) > 0)) | (F.size(words(chunk)) >= long_line)
@@ -98,44 +103,62 @@ def remove_repeated_chunks(
     equal in key and text lose the same chunks. Other columns pass unchanged;
     ``n_chunks`` and ``n_removed`` replace columns of those names.
     """
-    carried = [c for c in docs.columns if c not in ("n_chunks", "n_removed")]
-    base = docs.select(*carried)
+    added = ("n_chunks", "n_removed")
+    carried = [c for c in docs.columns if c not in added]
     row = F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("body"))
-    cut = with_chunks(base.filter(F.col(text).isNotNull()), text, "_chunks",
-                      window, divisor, long_line)
-
-    def occurrences(of: DataFrame) -> DataFrame:
-        picked = F.filter(
-            F.transform(F.col("_chunks"), lambda c, i: F.struct(
-                F.xxhash64(c).alias("hash"), i.alias("place"), c.alias("chunk"))),
-            lambda x: _comparable(x["chunk"], long_line))
-        return of.select(row.alias("row"), F.explode(picked).alias("c")).select("row", "c.*")
-
-    repeated = materialize(
-        occurrences(cut).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1).select("hash"))
-    several = materialize(occurrences(cut).join(repeated, "hash", "left_semi"))
+    cut = {"window": window, "divisor": divisor, "long_line": long_line}
+
+    # hashes of all chunks that may be compared
+    described = with_chunks(docs.filter(F.col(text).isNotNull()), text, _CHUNKS, **cut)
+    light = F.filter(
+        F.transform(F.col(_CHUNKS), lambda c, i: F.struct(
+            _chunk_hash(c).alias("hash"), i.alias("place"), _comparable(c, long_line).alias("use"))),
+        lambda x: x["use"])
+    places = materialize(
+        described.select(row.alias("row"), F.explode(light).alias("c"))
+        .select("row.key", "row.body", "c.hash", "c.place"))
+    at = F.struct("key", "body", "place")
     first = materialize(
-        several.groupBy("hash").agg(F.min(F.struct("row", "place", "chunk")).alias("first")))
-    gone = materialize(
-        several.join(first, "hash")
-        .filter((F.col("chunk") == F.col("first.chunk")) & ~(
-            F.col("row.key").eqNullSafe(F.col("first.row.key"))
-            & (F.col("row.body") == F.col("first.row.body"))
-            & (F.col("place") == F.col("first.place"))))
-        .groupBy(F.col("row.key").alias("_key"), F.col("row.body").alias("_body"))
-        .agg(F.collect_set("place").alias("_gone")))
-
-    whole = base.withColumn("_hash", F.xxhash64(F.col(text)))
-    marked = whole.join(
-        gone, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_body")), "left"
-    ).select(*[whole[c] for c in carried], "_gone")
-    cut = with_chunks(marked, text, "_chunks", window, divisor, long_line)
-    kept = F.array_join(F.filter(
-        F.col("_chunks"), lambda c, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return cut.select(
-        *[F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text)
+        places.groupBy("hash").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1).select("hash", "first"))
+    repeated = (
+        places.join(first, "hash")
+        .groupBy(F.col("key").alias("_key"), F.col("body").alias("_body"))
+        .agg(F.collect_set(F.struct("place", "hash", (at == F.col("first")).alias("stays")))
+             .alias(_PLACES)))
+
+    # the texts meet their places in one shuffle, whatever the sizes
+    whole = docs.select(*carried, F.xxhash64(F.col(text)).alias("_hash"))
+    known = materialize(repeated).hint("shuffle_hash")
+    marked = materialize(whole.join(
+        known, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_body")), "left"
+    ).select(*carried, "_hash", _PLACES))
+
+    # byte comparison of every later copy with the first one
+    several = with_chunks(marked.filter(F.col(_PLACES).isNotNull()), text, _CHUNKS, **cut).select(
+        F.col(key).alias("key"), F.col("_hash").alias("body"),
+        F.explode(F.transform(F.col(_PLACES), lambda p: F.struct(
+            p["hash"].alias("hash"), p["place"].alias("place"), p["stays"].alias("stays"),
+            F.get(F.col(_CHUNKS), p["place"]).alias("chunk")))).alias("c")).select("key", "body", "c.*")
+    kept = materialize(several.filter("stays").groupBy("hash").agg(F.min("chunk").alias("kept")))
+    unequal = materialize(
+        several.filter(~F.col("stays")).join(kept, "hash").filter(F.col("chunk") != F.col("kept"))
+        .groupBy(F.col("key").alias("_key"), F.col("body").alias("_body"))
+        .agg(F.collect_set("place").alias(_UNEQUAL)))  # chunks that share a 64-bit hash alone
+
+    judged = marked.join(
+        unequal, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_body")), "left"
+    ).select(*carried, _PLACES, _UNEQUAL)
+    gone = F.array_except(
+        F.transform(F.filter(F.col(_PLACES), lambda p: ~p["stays"]), lambda p: p["place"]),
+        F.coalesce(_UNEQUAL, F.array().cast("array<int>")))
+    judged = with_chunks(judged.withColumn(_UNEQUAL, gone), text, _CHUNKS, **cut)
+    rest = F.array_join(F.filter(
+        F.col(_CHUNKS), lambda c, i: ~F.array_contains(F.col(_UNEQUAL), i)), "\n")
+    removed = F.coalesce(F.size(_UNEQUAL), F.lit(0))
+    return judged.select(
+        *[F.when(removed > 0, rest).otherwise(F.col(text)).alias(text)
           if c == text else F.col(c) for c in carried],
-        F.when(F.col(text).isNull(), 0).otherwise(F.size("_chunks")).cast("long").alias("n_chunks"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col(text).isNull(), 0).otherwise(F.size(_CHUNKS)).cast("long").alias("n_chunks"),
+        removed.cast("long").alias("n_removed"),
     )
