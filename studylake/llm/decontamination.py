@@ -3,13 +3,14 @@ r"""Benchmark passages in documents, found by winnowed fingerprints.
 Words are runs of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z. The
 fingerprints of a text are the least 5-word hashes in every window of 10 words,
 so two texts that share 10 words in a row share the fingerprint of that window.
-Fingerprints of documents and of the benchmark are joined; around the joined
-ones the 10-word windows are compared with those of the benchmark. An item of
-fewer words is one window and its own fingerprint.
+Fingerprints of documents and of the benchmark are joined, and a joined one counts
+where the whole windows around both agree. An item of fewer words is one window
+and its own fingerprint.
 
-A bitmap of fixed size (128 KB) of the benchmark's fingerprints keeps most of a
+A bitmap of the benchmark's fingerprints, of at most 16 MB, keeps most of a
 document's from leaving their task; it only saves work, the join decides.
-Everything that grows, with the documents or with the benchmark, is joined.
+Everything that grows, with the documents or with the benchmark, is joined. Texts
+are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from studylake.session import materialize
 WINDOW = 10
 GRAM = 5
 
-_BITS = 20
-_MASK = (1 << _BITS) - 1
+_LEAST_BITS, _MOST_BITS = 20, 27
+_FOUND = ("marks", "windows", "starts", "sizes")
 _SPANS = "array<struct<start:int,size:int>>"
 
 
@@ -43,11 +44,6 @@ def _minima(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _rows_of(places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Bounds of the sorted ``places`` by row."""
-    return np.searchsorted(places, bounds)
-
-
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(item, width, fingerprint, window) for every window of every item."""
     hasher = WordHasher(ALPHANUMERIC)
@@ -71,59 +67,50 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marked(widths: Sequence[int], bitmap: np.ndarray):
-    """(key, body, n_words, marks): the fingerprints of a text that the bitmap knows."""
-    def known(marks: np.ndarray, width: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low = (marks & np.uint64(_MASK)).astype(np.int64)
+    """(key, body, n_words, found): the windows whose fingerprint the bitmap knows."""
+    mask = np.uint64(len(bitmap) * 64 - 1)
+
+    def known(hashes: np.ndarray, width: int, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        windows = combine(hashes, width)
+        marks = _minima(hashes) if width == WINDOW else windows
+        low = (marks & mask).astype(np.int64)
         hit = (bitmap[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
         ends = np.repeat(bounds[1:], np.diff(bounds))[:len(marks)]
         hit &= np.arange(len(marks)) + width <= ends
         places = np.flatnonzero(hit)
-        return places, marks[places]
+        return places, marks[places], windows[places], np.full(len(places), width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(ALPHANUMERIC)
         for batch in batches:
             for block in blocks(batch, "text"):
                 hashes, bounds = hasher(block.column("text"))
-                found = [known(_minima(hashes) if w == WINDOW else combine(hashes, w), w, bounds)
-                         for w in widths]
-                places = np.concatenate([p for p, _ in found] or [np.empty(0, np.int64)])
-                marks = np.concatenate([m for _, m in found] or [np.empty(0, np.uint64)])
+                parts = [known(hashes, w, bounds) for w in widths] or [known(hashes[:0], 1, bounds * 0)]
+                places, marks, windows, sizes = (np.concatenate(p) for p in zip(*parts, strict=True))
                 order = np.argsort(places, kind="stable")
+                places = places[order]
+                rows = np.searchsorted(places, bounds)
+                starts = places - np.repeat(bounds[:-1], np.diff(rows))
+                found = [lists(marks[order].view(np.int64), rows, pa.int64()),
+                         lists(windows[order].view(np.int64), rows, pa.int64()),
+                         lists(starts, rows, pa.int32()), lists(sizes[order], rows, pa.int32())]
                 yield pa.RecordBatch.from_arrays(
-                    [block.column("key"), block.column("body"),
-                     pa.array(np.diff(bounds), pa.int64()),
-                     lists(marks[order].view(np.int64), _rows_of(places[order], bounds), pa.int64())],
-                    names=["key", "body", "n_words", "marks"])
+                    [block.column("key"), block.column("body"), pa.array(np.diff(bounds), pa.int64()),
+                     *found], names=["key", "body", "n_words", *_FOUND])
     return run
 
 
-def _extended(widths: Sequence[int]):
-    """(body, window, start, size): the windows of a text around its joined fingerprints."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(ALPHANUMERIC)
-        for batch in batches:
-            row = 0
-            for block in blocks(batch, "text"):
-                hashes, bounds = hasher(block.column("text"))
-                for i in range(block.num_rows):
-                    own = hashes[bounds[i]:bounds[i + 1]]
-                    seeds = np.array(batch.column("seeds")[row].as_py(), np.int64).view(np.uint64)
-                    body = batch.column("body")[row].as_py()
-                    row += 1
-                    for width in widths:
-                        if len(own) < width:
-                            continue
-                        windows = combine(own, width)
-                        marks = _minima(own) if width == WINDOW else windows
-                        starts = np.flatnonzero(np.isin(marks, seeds))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([body] * len(starts), pa.string()),
-                             pa.array(windows[starts].view(np.int64)),
-                             pa.array(starts, pa.int32()),
-                             pa.array(np.full(len(starts), width), pa.int32())],
-                            names=["body", "window", "start", "size"])
-    return run
+def _bitmap(known: DataFrame) -> np.ndarray:
+    """The low bits of all fingerprints in ``known``; 128 KB to 16 MB by their number."""
+    marks = known.select("mark").distinct()
+    wanted = 16 * marks.count()
+    bits = min(max(wanted.bit_length(), _LEAST_BITS), _MOST_BITS)
+    low = marks.select(F.col("mark").bitwiseAND(F.lit((1 << bits) - 1)).alias("low"))
+    slots = low.groupBy(F.shiftright("low", 6).alias("slot")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(low & 63 as int)))").alias("set")).toArrow()
+    out = np.zeros(1 << bits - 6, dtype=np.uint64)
+    out[slots.column("slot").to_numpy()] = slots.column("set").to_numpy().view(np.uint64)
+    return out
 
 
 def covered_words(spans: Column) -> Column:
@@ -161,25 +148,21 @@ def find_contamination(
     known = materialize(map_batches(
         asked, _items, "item string, width int, mark bigint, window bigint").distinct())
 
-    low = F.col("mark").bitwiseAND(F.lit(_MASK))
-    bitmap = np.zeros(1 << _BITS - 6, dtype=np.uint64)
-    for slot, bits in (
-        known.select(low.alias("low")).groupBy(F.shiftright("low", 6).alias("slot"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(low & 63 as int)))").alias("bits")).collect()
-    ):  # at most 16,384 rows, whatever the benchmark
-        bitmap[slot] = np.uint64(bits & (1 << 64) - 1)
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # at most ten
+    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _marked(widths, bitmap.value)(batches)
 
     marked = materialize(map_batches(
-        bodies, _marked(widths, bitmap), f"key {kind}, body string, n_words bigint, marks array<bigint>"))
-    seeds = materialize(
-        marked.select("body", F.explode("marks").alias("mark"))
-        .join(known.select("mark").distinct(), "mark", "left_semi")
-        .groupBy("body").agg(F.collect_set("mark").alias("seeds")))
+        bodies, run, f"key {kind}, body string, n_words bigint, marks array<bigint>, "
+                     "windows array<bigint>, starts array<int>, sizes array<int>"))
     windows = materialize(
-        map_batches(bodies.select("body", "text").join(seeds, "body"), _extended(widths),
-                    "body string, window bigint, start int, size int")
-        .join(known.select("window").distinct(), "window", "left_semi").distinct())
+        marked.select("body", F.explode(F.arrays_zip(*_FOUND)).alias("w"))
+        .select("body", F.col("w.marks").alias("mark"), F.col("w.windows").alias("window"),
+                F.col("w.starts").alias("start"), F.col("w.sizes").alias("size"))
+        .join(known.select("mark", "window").distinct(), ["mark", "window"], "left_semi")
+        .select("body", "window", "start", "size").distinct())
     spans = windows.groupBy("body").agg(
         F.sort_array(F.collect_set(F.struct("start", "size"))).cast(_SPANS).alias("spans"))
     items = (
@@ -188,7 +171,7 @@ def find_contamination(
         .select("body", "item").distinct()
         .groupBy("body").agg(F.sort_array(F.collect_list("item")).alias("items")))
     found = materialize(spans.join(items, "body", "left"))
-    return marked.drop("marks").join(found, "body", "left").select(
+    return marked.drop(*_FOUND).join(found, "body", "left").select(
         F.col("key").alias(key), "n_words",
         F.coalesce(covered_words(F.col("spans")), F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"),
@@ -209,5 +192,5 @@ def keep_clean(
         .withColumnsRenamed({"key": "_key", "body": "_body"}))
     hashed = docs.withColumn("_hash", F.md5(F.col(text)))
     return hashed.join(
-        gone, (F.col("_hash") == F.col("_body")) & F.col(key).eqNullSafe(F.col("_key")),
+        gone.hint("shuffle_hash"), (F.col("_hash") == F.col("_body")) & F.col(key).eqNullSafe(F.col("_key")),
         "left_anti").drop("_hash")
