@@ -238,13 +238,19 @@ def text_clean_parse(t: Learning) -> DataFrame:
     return parsed(documents).unionByName(parsed(events))
 
 
-@query("hash_surrogate_key")
+@query("hash_surrogate_key", """
+SELECT o_custkey, o_orderpriority, o_orderdate, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_keys,
+       CAST(1 AS BIGINT) AS n_holders, CAST(0 AS BIGINT) AS null_keys
+FROM orders GROUP BY 1, 2, 3""")
 def hash_surrogate_key(t: Learning) -> DataFrame:
-    return t.table("orders").select(
-        "o_orderkey", "o_custkey",
-        fx.surrogate_key(F.col("o_custkey"), F.col("o_orderpriority"), F.col("o_orderdate"))
-        .alias("key"),
-    )
+    """Per distinct parts: rows, their keys, the parts that hold that key, rows without a key."""
+    parts = ["o_custkey", "o_orderpriority", "o_orderdate"]
+    keyed = t.table("orders").select(*parts, fx.surrogate_key(*map(F.col, parts)).alias("key"))
+    holders = keyed.distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n_holders"))
+    per_parts = keyed.groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("key").alias("n_keys"),
+        F.count_if(F.col("key").isNull()).alias("null_keys"), F.max("key").alias("key"))
+    return per_parts.join(holders, "key").select(*parts, "n_rows", "n_keys", "n_holders", "null_keys")
 
 
 # --- silver -------------------------------------------------------------------------------
@@ -332,6 +338,44 @@ def fact_performance(t: Learning) -> DataFrame:
     return t.gold["fact_student_performance"].drop("student_performance_key")
 
 
+def _key_report(fact: DataFrame, key: str, parts: list[str]) -> DataFrame:
+    """Rows, distinct keys and distinct parts of a fact, and keys that several parts share."""
+    pairs = fact.groupBy(key, *parts).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy(key).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("holders")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(key).alias("n_keys"),
+        F.coalesce(F.sum("holders"), F.lit(0)).alias("n_parts"),
+        F.count_if(F.col("holders") > 1).alias("shared_keys"),
+        F.count_if(F.col(key).isNull()).alias("null_keys"))
+
+
+def _key_sql(source: str, parts: str) -> str:
+    return q.with_(f"""
+SELECT {q.big('sum(n)')} AS n_rows, count(*) AS n_keys, count(*) AS n_parts,
+       CAST(0 AS BIGINT) AS shared_keys, CAST(0 AS BIGINT) AS null_keys
+FROM (SELECT {parts}, count(*) AS n FROM {source} GROUP BY ALL)""")
+
+
+@query("fact_engagement_keys", _key_sql(
+    "g_engagement", "student_enrollment_id, vle_id, interaction_date"))
+def fact_engagement_keys(t: Learning) -> DataFrame:
+    return _key_report(t.gold["fact_student_engagement"], "engagement_id",
+                       ["student_enrollment_id", "vle_id", "interaction_date"])
+
+
+@query("fact_performance_keys", _key_sql("s_student_assessment SEMI JOIN g_performance p "
+       "ON s_student_assessment.id_student = p.id_student "
+       "AND s_student_assessment.id_assessment = p.assessment_key", "id_student, id_assessment"))
+def fact_performance_keys(t: Learning) -> DataFrame:
+    """The key stands for one submission: student and assessment of a fact row give it again."""
+    fact = t.gold["fact_student_performance"].select("student_performance_key", "assessment_key")
+    submitted = t.silver["student_assessment"].select(
+        "id_student", "id_assessment",
+        fx.surrogate_key(F.col("id_student"), F.col("id_assessment")).alias("_key"))
+    linked = fact.join(submitted, (F.col("student_performance_key") == F.col("_key"))
+                       & (F.col("assessment_key") == F.col("id_assessment")))
+    return _key_report(linked, "student_performance_key", ["id_student", "id_assessment"])
+
+
 @query("semi_join_orphan_rule", q.with_("""
 SELECT * FROM s_assessments a WHERE EXISTS (
   SELECT 1 FROM s_courses c

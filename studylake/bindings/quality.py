@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 
 from studylake import schemas
 from studylake.bindings import ctes as q
+from studylake.bindings import report_rows
 from studylake.bindings.learning import AS_OF, Learning
 from studylake.bindings.registry import query
 from studylake.functions import columns as fx
 from studylake.operators import joins
-from studylake.operators.aggregates import value_list
 from studylake.plans import gold
 from studylake.plans import silver as cleaning
 from studylake.quality import audit, refusals, structured
 from studylake.quality import builders as b
 from studylake.quality.catalog import bronze_to_silver
-from studylake.quality.report import Spec
+from studylake.bindings.report_rows import Line
 
 TEXT = "concat_ws(',', list_filter([{}], lambda x: x IS NOT NULL))"
 
@@ -231,7 +231,7 @@ def _literal(value: str | float | None, kind: str) -> str:
 
 
 def _report_sql(
-    specs: Sequence[Spec],
+    lines: Sequence[Line],
     layer: str,
     table: str,
     by_threshold: bool,
@@ -246,12 +246,12 @@ def _report_sql(
     )
     number = {name: f"v{i}" for i, name in enumerate(violations)}
     rows = " UNION ALL ".join(
-        f"SELECT '{s.category}' AS check_category, '{s.name}' AS check_name, "
-        f"'{s.level}' AS check_level, {totals.get(s.name, 'total')} AS total_records, "
-        f"{number[s.name]} AS violations, {_literal(s.warn, 'DOUBLE')} AS warn, "
-        f"{_literal(s.fail, 'DOUBLE')} AS fail, {_literal(s.severity, 'VARCHAR')} AS severity, "
-        f"{ready.get(s.name, 'TRUE')} AS ready, '{s.description}' AS description FROM stats"
-        for s in specs
+        f"SELECT '{category}' AS check_category, '{name}' AS check_name, "
+        f"'{level}' AS check_level, {totals.get(name, 'total')} AS total_records, "
+        f"{number[name]} AS violations, {_literal(warn, 'DOUBLE')} AS warn, "
+        f"{_literal(fail, 'DOUBLE')} AS fail, {_literal(severity, 'VARCHAR')} AS severity, "
+        f"{ready.get(name, 'TRUE')} AS ready, '{description}' AS description FROM stats"
+        for category, name, level, warn, fail, severity, _, description in lines
     )
     measured = f"""SELECT *, CASE WHEN check_level = 'ROW' AND total_records > 0 AND ready
         THEN {q.rate('violations', 'total_records')} END AS violation_rate FROM checks"""
@@ -305,7 +305,7 @@ def _if(condition: str) -> str:
 
 
 @query("dq_threshold_report", _report_sql(
-    structured.BRONZE_ASSESSMENTS, "BRONZE", "assessments", True,
+    report_rows.BRONZE_ASSESSMENTS, "BRONZE", "assessments", True,
     {
         "Record Count": "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END",
         "Missing id_assessment": _if("id_text IS NULL"),
@@ -367,7 +367,7 @@ _HAS_STUDENTS = "(SELECT count(*) FROM enrolled) > 0"
 
 
 @query("dq_severity_report", _report_sql(
-    structured.BRONZE_SUBMISSIONS, "BRONZE", "student_assessment_bronze", False,
+    report_rows.BRONZE_SUBMISSIONS, "BRONZE", "student_assessment_bronze", False,
     {
         "Record Count": "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END",
         "Missing id_assessment": _if("aid_text IS NULL"),
@@ -431,22 +431,22 @@ def _unbalanced_sql(table: str) -> str:
 
 
 def _silver_violations(
-    specs: Sequence[Spec], rules: Mapping[str, str], table: str, **more: str
+    lines: Sequence[Line], rules: Mapping[str, str], table: str, **more: str
 ) -> dict[str, str]:
     found = {
         "Record Count": "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END",
         "Row Accounting Balances": _unbalanced_sql(table),
     }
     conditions = {**rules, **more}
-    for s in specs:
-        if s.name not in found:
-            found[s.name] = _if(conditions[s.count])
+    for _, name, *_, metric, _ in lines:
+        if name not in found:
+            found[name] = _if(conditions[metric])
     return found
 
 
 @query("dq_silver_assessments", _report_sql(
-    structured.SILVER_ASSESSMENTS, "SILVER", "assessments_silver", False,
-    _silver_violations(structured.SILVER_ASSESSMENTS, _ASSESSMENT_RULES, "assessments",
+    report_rows.SILVER_ASSESSMENTS, "SILVER", "assessments_silver", False,
+    _silver_violations(report_rows.SILVER_ASSESSMENTS, _ASSESSMENT_RULES, "assessments",
                        date_missing="date IS NULL"),
     {"Row Accounting Balances": "(SELECT count(*) FROM b_assessments)"},
     {"Orphan Module Presentation": "(SELECT count(*) FROM s_courses) > 0"},
@@ -464,8 +464,8 @@ _SOME_STUDENT = "(SELECT count(*) FROM s_student_info) > 0"
 
 
 @query("dq_silver_submissions", _report_sql(
-    structured.SILVER_SUBMISSIONS, "SILVER", "student_assessment_silver", False,
-    _silver_violations(structured.SILVER_SUBMISSIONS, _SUBMISSION_RULES, "student_assessment",
+    report_rows.SILVER_SUBMISSIONS, "SILVER", "student_assessment_silver", False,
+    _silver_violations(report_rows.SILVER_SUBMISSIONS, _SUBMISSION_RULES, "student_assessment",
                        score_missing="score IS NULL"),
     {"Row Accounting Balances": "(SELECT count(*) FROM b_student_assessment)"},
     {
@@ -692,8 +692,7 @@ def dq_distribution(t: Learning) -> DataFrame:
     "SUMMARY", "Table Profile",
     "count(*) AS total_records, count(DISTINCT user_id) AS users, "
     "count(DISTINCT event_type) AS event_types, min(CAST(ts AS DATE)) AS earliest, "
-    "max(CAST(ts AS DATE)) AS latest, string_agg(DISTINCT event_type, ', ' ORDER BY event_type) "
-    "AS event_type_list", "WHEN TRUE THEN 'INFO'", "events", "Overview of the table."))
+    "max(CAST(ts AS DATE)) AS latest", "WHEN TRUE THEN 'INFO'", "events", "Overview of the table."))
 def dq_profile(t: Learning) -> DataFrame:
     events = t.table("events")
     return b.run_check(events, b.profile("1", {
@@ -702,7 +701,7 @@ def dq_profile(t: Learning) -> DataFrame:
         "event_types": F.countDistinct("event_type"),
         "earliest": F.min(F.to_date("ts")),
         "latest": F.max(F.to_date("ts")),
-    }, lists={"event_type_list": value_list(events, "event_type")}))
+    }))
 
 
 @query("dq_completeness", _check_sql(
@@ -746,7 +745,10 @@ FROM (SELECT (SELECT count(*) FROM {c}) AS child_rows,
 
 
 @query("relationship_check", q.with_(
-    " UNION ALL ".join(_relationship_sql(*r) for r in gold.RELATIONSHIPS)))
+    " UNION ALL ".join(_relationship_sql(*r) for r in (
+        ("dim_student_enrollment", "dim_student", "student_id"),
+        ("dim_student_enrollment", "dim_course", "course_id"),
+        ("fact_student_engagement", "dim_student_enrollment", "student_enrollment_id")))))
 def relationship_check(t: Learning) -> DataFrame:
     checks = [
         audit.relationship_check(t.gold[child], t.gold[parent], [on], f"{child}_{parent}")

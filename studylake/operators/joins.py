@@ -19,9 +19,12 @@ def lookup(
     right: DataFrame,
     on: Sequence[str] | Mapping[str, str],
     gate: Column | None = None,
+    how: str = "left",
 ) -> DataFrame:
     """LEFT JOIN to a frame with one row per key; a NULL key finds nothing.
 
+    With ``how="inner"`` rows that find nothing are left out.
+
     ``on`` names the key columns, or maps left to right columns. ``gate`` is a
     further condition on the left row. All columns of the left side stay, and
     those of the right side except its key.
@@ -34,7 +37,7 @@ def lookup(
     condition = F.lit(True) if gate is None else gate
     for mine, theirs in pairs.items():
         condition = condition & left[mine].eqNullSafe(keyed[f"_key_{theirs}"])
-    return left.join(keyed, condition, "left").drop(
+    return left.join(keyed, condition, how).drop(
         *[f"_key_{theirs}" for theirs in pairs.values()]
     )
 

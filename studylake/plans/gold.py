@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studylake.functions import columns as fx
-from studylake.operators import copies
+from studylake.operators import copies, joins
 
 Frames = Mapping[str, DataFrame]
 COURSE = ["code_module", "code_presentation"]
@@ -202,9 +202,9 @@ def fact_performance(
     """One row per submission of a known assessment on a known course.
 
     The assessment side is joined to its dimensions first, so the submissions
-    meet one lookup instead of three.
+    meet one lookup instead of three, and one that splits a hot assessment.
     """
-    lookup = (
+    known = (
         assessments.select("id_assessment", *COURSE)
         .join(
             assessment_dim.select(
@@ -218,7 +218,7 @@ def fact_performance(
     )
     submitted, due = F.col("date_submitted"), F.col("assessment_day_offset")
     return (
-        submissions.join(lookup, "id_assessment")
+        joins.lookup(submissions, known, ["id_assessment"], how="inner")
         .withColumn("_week", fx.week_of(submitted))
         .join(_week_lookup(weeks), ["course_id", "_week"], "left")
         .withColumn("student_id", F.col("id_student"))

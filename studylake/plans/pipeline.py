@@ -11,7 +11,7 @@ from studylake import schemas
 from studylake.operators.upsert import merge_upsert
 from studylake.plans import analytics, gold, silver
 from studylake.quality import audit, catalog, structured
-from studylake.session import materialize
+from studylake.session import materialize, scratch_run
 from studylake.sources import raw, tables
 from studylake.sources.tables import Lake
 
@@ -108,18 +108,26 @@ def structured_reports(
 
 
 def run(spark: SparkSession, source: str, root: str, as_of: datetime) -> dict[str, DataFrame]:
-    """The whole pipeline; returns the gold tables, the reports and the two analyses."""
+    """The whole pipeline; returns the gold tables, the reports and the two analyses.
+
+    Everything returned reads the lake; intermediate tables are gone by then.
+    """
     lake = Lake(spark, root)
-    inspect_sources(lake, source, as_of)
-    bronze = load_bronze(lake, source, as_of)
-    clean = load_silver(lake, bronze)
-    star = load_gold(lake, clean)
-    for report in structured_reports(bronze, clean, as_of):
-        tables.append_results(report, f"{lake.root}/quality/dq_check_results")
-    checks = catalog.reports(bronze, clean, star, _moment(as_of).cast("date"))
+    log, today = f"{lake.root}/quality/dq_check_results", _moment(as_of).cast("date")
+    with scratch_run(spark):
+        inspect_sources(lake, source, as_of)
+        bronze = load_bronze(lake, source, as_of)
+        clean = load_silver(lake, bronze)
+        star = load_gold(lake, clean)
+        for report in structured_reports(bronze, clean, as_of):
+            tables.append_results(report, log)
+        values = lake.write(
+            "quality", "dq_listed_values", catalog.listed_values(bronze, clean, star, today))
+    checks = catalog.reports(bronze, clean, star, today)
     return {
         **star,
-        "dq_check_results": spark.read.parquet(f"{lake.root}/quality/dq_check_results"),
+        "dq_check_results": tables.read_results(spark, log),
+        "dq_listed_values": values,
         **{f"checks_{name}": report for name, report in checks.items()},
         "engagement_performance": analytics.engagement_performance(
             star["fact_student_engagement"], star["fact_student_performance"]),

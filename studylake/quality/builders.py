@@ -33,6 +33,8 @@ class Check:
     ``derived`` metrics are computed from finished ones. ``frame`` None is the
     table itself. Checks that count ``distinct`` values share a scan of their own,
     because such counts multiply the rows under every aggregate beside them.
+    ``listed`` names the columns whose distinct values belong to the check; they
+    are rows of ``check_values``, since no text or task may hold a column's values.
     """
 
     code: str
@@ -45,6 +47,7 @@ class Check:
     hidden: Mapping[str, Column] = field(default_factory=dict)
     derived: Mapping[str, Verdict] = field(default_factory=dict)
     distinct: bool = False
+    listed: Sequence[str] = ()
 
 
 def rows() -> Column:
@@ -161,10 +164,10 @@ def outside_domain(column: Column, values: Sequence) -> Column:
 def in_domain(
     code: str, category: str, name: str, domains: Mapping[str, tuple[Column, Sequence]],
     also: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
-    lists: Mapping[str, Column] | None = None,
+    listed: Sequence[str] = (),
     description: str = "Values belong to their domain.", total: bool = True,
 ) -> Check:
-    """``also`` are further violations, ``counts`` distinct counts, ``lists`` value lists."""
+    """``also`` are further violations, ``counts`` distinct counts."""
     bad = {m: outside_domain(c, values) for m, (c, values) in domains.items()}
     bad.update(also or {})
     return Check(
@@ -173,8 +176,7 @@ def in_domain(
          **{m: violations(b) for m, b in bad.items()}, **(counts or {})},
         pass_if_none("_any"), description,
         hidden={"_any": violations(any_of(list(bad.values())))},
-        derived={m: lambda _, text=text: text for m, text in (lists or {}).items()},
-        distinct=bool(counts),
+        distinct=bool(counts), listed=listed,
     )
 
 
@@ -296,22 +298,18 @@ def distribution(
 
 def profile(
     code: str, metrics: Mapping[str, Column], name: str = "Table Profile",
-    lists: Mapping[str, Column] | None = None,
+    listed: Sequence[str] = (),
 ) -> Check:
     """An overview, distinct counts included."""
-    return Check(
-        code, "SUMMARY", name, metrics, info, "Overview of the table.", distinct=True,
-        derived={m: lambda _, text=text: text for m, text in (lists or {}).items()},
-    )
+    return Check(code, "SUMMARY", name, metrics, info, "Overview of the table.", distinct=True,
+                 listed=listed)
 
 
-def distinct_list(
-    code: str, name: str, table: DataFrame, column: str
-) -> Check:
-    """How many distinct values a column has; the values come from ``distinct_values``."""
-    values = table.select(F.col(column).alias("_value")).distinct()
-    return Check(code, "PROFILE", name, {"distinct_values": rows()}, info,
-                 f"Distinct values of {column}.", frame=values)
+def distinct_list(code: str, name: str, column: str) -> Check:
+    """The distinct values of a column, NULL being one, and how many they are."""
+    null = F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
+    return Check(code, "PROFILE", name, {"distinct_values": F.countDistinct(column) + null}, info,
+                 f"Distinct values of {column}.", distinct=True, listed=(column,))
 
 
 def distinct_values(table: DataFrame, *columns: str) -> DataFrame:
@@ -323,6 +321,23 @@ def distinct_values(table: DataFrame, *columns: str) -> DataFrame:
     return table.select(F.inline(pairs)).distinct().orderBy("column_name", "value")
 
 
+def check_values(
+    table: DataFrame, checks: Sequence[Check], layer: str, table_name: str
+) -> DataFrame:
+    """The distinct values that the checks list, as rows from one scan.
+
+    One row per check, column and value, however many there are; NULL is a value.
+    """
+    listed = [
+        F.struct(F.lit(check.code).alias("check_code"), F.lit(check.name).alias("check_name"),
+                 F.lit(column).alias("column_name"), F.col(column).cast("string").alias("value"))
+        for check in checks for column in check.listed
+    ]
+    kind = ("array<struct<check_code:string,check_name:string,column_name:string,value:string>>")
+    return table.select(F.inline(F.array(*listed).cast(kind))).distinct().select(
+        F.lit(layer).alias("layer_name"), F.lit(table_name).alias("table_name"), "*")
+
+
 # --- running -----------------------------------------------------------------------------
 
 def _compute(frame: DataFrame, checks: Mapping[str, Check]) -> DataFrame:

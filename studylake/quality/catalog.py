@@ -7,13 +7,13 @@ report order. ``as_of`` stands for today, so that a report can be repeated.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studylake import schemas
 from studylake.functions import columns as fx
-from studylake.operators.aggregates import value_list
 from studylake.quality import builders as b
 from studylake.quality.builders import Check, Result
 
@@ -116,8 +116,8 @@ def bronze_courses(bronze: DataFrame) -> list[Check]:
         b.in_range("1.4", "VALIDITY", "Presentation Length Range",
                    {"invalid_presentation_length_records": length <= 0},
                    _span(length, "length")),
-        b.distinct_list("2.1", "Distinct Module Codes", bronze, "code_module"),
-        b.distinct_list("2.2", "Distinct Presentation Codes", bronze, "code_presentation"),
+        b.distinct_list("2.1", "Distinct Module Codes", "code_module"),
+        b.distinct_list("2.2", "Distinct Presentation Codes", "code_presentation"),
         b.profile("3.1", {
             "row_count": b.rows(),
             "duplicate_records": b.rows() - F.countDistinct(*COURSE),
@@ -147,13 +147,13 @@ def bronze_student_info(bronze: DataFrame, as_of: Column | None = None) -> list[
             "2.1", "BUSINESS_RULE", "IMD Band Domain Values",
             {"invalid_imd_band": (F.col("imd_band"), BANDS_OR_UNKNOWN)}, total=False,
             counts={"distinct_values": F.countDistinct("imd_band")},
-            lists={"unique_imd_values": value_list(bronze, "imd_band")},
+            listed=["imd_band"],
         ),
         b.in_domain(
             "2.2", "BUSINESS_RULE", "Final Result Domain",
             {"invalid_results": (fx.norm_code(F.col("final_result")), RESULTS_UPPER)},
             counts={"distinct_values": F.countDistinct("final_result")},
-            lists={"unique_final_results": value_list(bronze, "final_result")},
+            listed=["final_result"],
         ),
         b.in_range(
             "2.3", "BUSINESS_RULE", "Reasonable Credit Load",
@@ -227,10 +227,10 @@ def bronze_vle(bronze: DataFrame) -> list[Check]:
                        first, last),
         b.in_range("1.6", "VALIDITY", "Non-Negative Week Values",
                    {"negative_week_records": negative}),
-        b.distinct_list("2.1", "Distinct Module Codes", bronze, "code_module"),
-        b.distinct_list("2.2", "Distinct Presentation Codes", bronze, "code_presentation"),
-        b.distinct_list("2.3", "Distinct Activity Types", bronze, "activity_type"),
-        b.distinct_list("2.4", "Ingestion Dates", bronze, "ingestion_date"),
+        b.distinct_list("2.1", "Distinct Module Codes", "code_module"),
+        b.distinct_list("2.2", "Distinct Presentation Codes", "code_presentation"),
+        b.distinct_list("2.3", "Distinct Activity Types", "activity_type"),
+        b.distinct_list("2.4", "Ingestion Dates", "ingestion_date"),
         b.profile("3.1", {
             "row_count": b.rows(),
             "duplicate_records": b.rows() - F.countDistinct("id_site"),
@@ -549,7 +549,7 @@ def gold_dim_student_enrollment(
             "2.1", "BUSINESS_RULE", "Final Result Domain",
             {"invalid_results": (result, RESULTS_UPPER)},
             counts={"distinct_results": F.countDistinct("final_result")},
-            lists={"unique_final_results": value_list(dim, "final_result")},
+            listed=["final_result"],
         ),
         b.distribution("2.2", "BUSINESS_RULE", "Enrollment Outcome Distribution", {
             "total_enrollments": b.rows(),
@@ -638,15 +638,19 @@ REPORTS: dict[str, Callable[[Frames, Frames, Frames, Column | None], list[Check]
 }
 
 
+def _checked(
+    name: str, bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None
+) -> tuple[DataFrame, list[Check], str, str]:
+    layer, table = name.split("_", 1)
+    checked = {"bronze": bronze, "silver": silver, "gold": gold}[layer][table]
+    return checked, REPORTS[name](bronze, silver, gold, as_of), layer.upper(), table
+
+
 def report(
     name: str, bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None = None
 ) -> DataFrame:
     """The report of one table, named ``<layer>_<table>``."""
-    layer, table = name.split("_", 1)
-    checked = {"bronze": bronze, "silver": silver, "gold": gold}[layer][table]
-    return b.run_checks(
-        checked, REPORTS[name](bronze, silver, gold, as_of), layer.upper(), table
-    )
+    return b.run_checks(*_checked(name, bronze, silver, gold, as_of))
 
 
 def reports(
@@ -654,3 +658,22 @@ def reports(
 ) -> dict[str, DataFrame]:
     """All single-statement reports, one lazy frame per checked table."""
     return {name: report(name, bronze, silver, gold, as_of) for name in REPORTS}
+
+
+#: The reports with checks that list values.
+LISTING = ("bronze_courses", "bronze_student_info", "bronze_vle", "gold_dim_student_enrollment")
+
+
+def report_values(
+    name: str, bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None = None
+) -> DataFrame:
+    """The values that the checks of one report list, as rows."""
+    return b.check_values(*_checked(name, bronze, silver, gold, as_of))
+
+
+def listed_values(
+    bronze: Frames, silver: Frames, gold: Frames, as_of: Column | None = None
+) -> DataFrame:
+    """The values that all reports list, as one table."""
+    frames = [report_values(name, bronze, silver, gold, as_of) for name in LISTING]
+    return reduce(DataFrame.unionByName, frames)

@@ -484,8 +484,10 @@ def evaluate_submissions(
     rows = copies.with_key_occurrences(submissions, ["id_assessment", "id_student"])
     rows = joins.lookup(rows, parent, ["id_assessment"])
     rows = joins.flag_matches(rows, info, ["id_student"], "student_exists_anywhere")
-    rows = joins.lookup(rows, enrolled, enrollment)
-    return joins.lookup(rows, registration.select(*enrollment, "date_registration"), enrollment)
+    both = enrolled.dropna(subset=enrollment).join(
+        registration.select(*enrollment, "date_registration").dropna(subset=enrollment),
+        enrollment, "full")
+    return joins.lookup(rows, both, enrollment)
 
 
 def submission_rules() -> dict[str, Column]:

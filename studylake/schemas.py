@@ -129,4 +129,7 @@ CHECK_RESULT = (
     "description string, checked_at timestamp"
 )
 
+#: One run's results of one table.
+CHECK_RESULT_KEYS = ["layer_name", "table_name", "checked_at"]
+
 AUDIT = "LoadDate date, source_file string, row_count bigint, EntryTime timestamp"

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,22 +39,54 @@ def build_session(
     return builder.getOrCreate()
 
 
+#: Set while ``scratch_run`` is open: the folder of the run.
+_RUN = "studylake.scratch.run"
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables, that of the open run if there is one.
 
-    A temporary folder is made only when the setting is absent and the session is
-    local; on a cluster a missing setting is an error.
+    It is named by ``spark.checkpoint.dir``. A temporary folder, gone with this
+    process, is made only when the setting is absent and driver and executors are
+    one process; on any cluster a missing setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get(_RUN, None) or spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="studylake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of the block go to one folder, removed when it ends.
+
+    What the block returns must not read them any more: store it elsewhere first.
+    """
+    folder = f"{scratch_folder(spark)}/run-{uuid.uuid4().hex}"
+    before = spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        remove_folder(folder)
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder in any store that Arrow reaches; a missing one is no error."""
+    files, place = fs.FileSystem.from_uri(path)
+    if files.get_file_info(place).type == fs.FileType.Directory:
+        files.delete_dir(place)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the scratch folder and read back.
 

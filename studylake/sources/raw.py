@@ -41,7 +41,8 @@ def discover(spark: SparkSession, folder: str) -> DataFrame:
         spark.read.format("binaryFile").option("pathGlobFilter", _CSV_GLOB).load(folder)
     )
     files = listing.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length"
+        F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length",
+        F.col("_metadata.file_path").alias("file_path"),
     ).orderBy("file_name")
     if files.isEmpty():
         raise ValueError(f"no CSV files in {folder}")
@@ -76,7 +77,10 @@ def source_row_counts(
     entered: Column | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Rows per CSV file of a folder, in one scan; a file with a header alone counts 0."""
+    """Rows per CSV file of a folder, in one scan; a file with a header alone counts 0.
+
+    Files and rows meet by the full path as Spark encodes it, so any name counts.
+    """
     files = discover(spark, folder)
     reader = (
         spark.read.option("header", True)
@@ -88,10 +92,10 @@ def source_row_counts(
         reader = reader.option("multiLine", True)
     counted = (
         reader.csv(folder)
-        .groupBy(F.col("_metadata.file_name").alias("file_name"))
+        .groupBy(F.col("_metadata.file_path").alias("file_path"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    counts = files.join(counted, "file_name", "left").select(
+    counts = files.join(counted, "file_path", "left").select(
         source_name(F.col("file_name")).alias("source_file"),
         F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
     )

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from studylake import schemas
+from studylake.session import remove_folder
+
 
 def ingest_bronze(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
     """All raw columns plus the load's timestamp and date."""
@@ -59,34 +63,43 @@ def overwrite_table(df: DataFrame, schema: T.StructType | str, path: str) -> Non
 
 
 def append_results(results: DataFrame, path: str) -> None:
-    """Add check results to the quality log."""
-    results.write.mode("append").partitionBy("layer_name").parquet(path)
+    """Add check results to the quality log.
+
+    Results of the same table and moment replace what a former try left of them.
+    """
+    to_schema(results, schemas.CHECK_RESULT).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(*schemas.CHECK_RESULT_KEYS).parquet(path)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The quality log."""
+    return spark.read.schema(schemas.CHECK_RESULT).parquet(path)
 
 
 class Lake:
     """Tables under one folder, each rewrite in a new version directory.
 
     A version counts once its success marker is there, so readers never meet a
-    half-written table and an upsert can read the version it replaces.
+    half-written table and an upsert can read the version it replaces. A version
+    is never written over: of two writers that take the same number, the second
+    fails. Old versions stay until ``retire`` removes them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def _listed(self, layer: str, table: str) -> dict[int, bool]:
+        """Every version directory by number, and whether it is complete."""
+        files, folder = fs.FileSystem.from_uri(f"{self.root}/{layer}/{table}")
+        found = files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        numbers = {int(f.base_name[1:]): f.path for f in found
+                   if f.base_name[:1] == "v" and f.base_name[1:].isdigit()}
+        markers = files.get_file_info([f"{path}/_SUCCESS" for path in numbers.values()])
+        return {n: m.type == fs.FileType.File for n, m in zip(numbers, markers, strict=True)}
+
     def _versions(self, layer: str, table: str) -> list[int]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        done = []
-        for status in files.listStatus(folder):
-            name = status.getPath().getName()
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("v") and name[1:].isdigit() and files.exists(marker):
-                done.append(int(name[1:]))
-        return sorted(done)
+        return sorted(n for n, complete in self._listed(layer, table).items() if complete)
 
     def path(self, layer: str, table: str, version: int) -> str:
         return f"{self.root}/{layer}/{table}/v{version:06d}"
@@ -99,10 +112,20 @@ class Lake:
         return self.spark.read.parquet(self.path(layer, table, versions[-1])) if versions else None
 
     def write(self, layer: str, table: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        version = (self._versions(layer, table) or [0])[-1] + 1
-        replace_table(df, self.path(layer, table, version), *partition_by)
+        version = max(self._listed(layer, table), default=0) + 1
+        df.write.mode("error").partitionBy(*partition_by).parquet(self.path(layer, table, version))
         return self.read(layer, table)
 
+    def retire(self, layer: str, table: str, keep: int = 1) -> list[int]:
+        """Remove all but the latest ``keep`` complete versions, and unfinished older ones."""
+        if keep < 1:
+            raise ValueError("at least one version stays")
+        kept = self._versions(layer, table)[-keep:]
+        gone = [n for n in self._listed(layer, table) if kept and n < kept[0]]
+        for number in gone:
+            remove_folder(self.path(layer, table, number))
+        return sorted(gone)
+
     def create(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         """Create once; an existing table is returned as it is."""
         return self.read(layer, table) if self.exists(layer, table) else self.write(layer, table, df)

@@ -1,6 +1,7 @@
 """The layers over the small raw files, rule by rule."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ import learning_fixture
 from studylake.operators import upsert
 from studylake.plans import analytics, gold, pipeline, silver
 from studylake.quality import audit, catalog, refusals, structured
+from studylake.session import scratch_folder
 from studylake.sources.tables import Lake
 
 AS_OF = datetime.datetime(2024, 1, 10)
@@ -388,6 +390,12 @@ def test_pipeline_twice(spark, tmp_path, rows):
     again = pipeline.run(spark, folder, root, AS_OF)
     for name, expected in stored.items():
         assert rows(again[name].drop("dimension_created_at")) == expected
-    assert again["dq_check_results"].count() == 130
+    assert again["dq_check_results"].count() == 65  # the same moment: replaced, not added
+    later = pipeline.run(spark, folder, root, AS_OF + datetime.timedelta(days=1))
+    assert later["dq_check_results"].count() == 130
+    listed = {(r["layer_name"], r["check_code"], r["column_name"])
+              for r in later["dq_listed_values"].collect()}
+    assert ("BRONZE", "2.4", "ingestion_date") in listed and ("GOLD", "2.1", "final_result") in listed
+    assert not [f for f in os.listdir(scratch_folder(spark)) if f.startswith("run-")]
     trail = Lake(spark, root).read("quality", "source_row_count_audit")
-    assert trail.count() == 7
+    assert trail.count() == 14

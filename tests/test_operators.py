@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from studylake.operators import aggregates, copies, joins, ranking, upsert
+from studylake.quality import builders
 
 SCHEMA = "k int, t int, v string"
 
@@ -174,11 +175,19 @@ def test_parent_mapping(spark, rows):
     assert rows(aggregates.parent_mapping(frame, "k", ["m"])) == [(1, 1, "a"), (2, 2, "a")]
 
 
-def test_value_list_is_sorted_and_bounded(spark):
-    frame = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string")
-    one = spark.range(1)
-    assert one.select(aggregates.value_list(frame, "v")).first()[0] == "a, b"
-    assert one.select(aggregates.value_list(frame, "v", limit=1)).first()[0] is None
+def test_listed_values_are_rows_without_a_bound(spark):
+    frame = spark.range(5000).selectExpr("cast(id as string) v", "if(id = 7, null, 'x') w")
+    checks = [builders.distinct_list("1", "Vs", "v"), builders.profile("2", {"n": builders.rows()}, listed=["w"])]
+    found = builders.check_values(frame, checks, "BRONZE", "t").collect()
+    assert {r["value"] for r in found if r["check_code"] == "1"} == {str(i) for i in range(5000)}
+    assert {(r["column_name"], r["value"]) for r in found if r["check_code"] == "2"} == {
+        ("w", "x"), ("w", None)}
+    counts = {r["check_code"]: r["metrics"] for r in builders.run_checks(
+        frame, [builders.distinct_list("1", "Vs", "v"), builders.distinct_list("2", "Ws", "w")],
+        "BRONZE", "t").collect()}
+    assert counts["1"]["distinct_values"] == "5000" and counts["2"]["distinct_values"] == "2"
+    nothing = builders.run_checks(frame.limit(0), [builders.distinct_list("1", "Vs", "v")], "BRONZE", "t")
+    assert nothing.first()["metrics"]["distinct_values"] == "0"
 
 
 def test_copies_of_one_row_are_split(spark):

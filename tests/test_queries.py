@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from studylake.bindings.registry import QUERIES, SQL
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -43,10 +44,10 @@ def bag(rows, columns, order):
     return Counter(tuple(plain(r[i]) for i in places) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    result = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    result = duck.execute(SQL[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     order = sorted(columns)
@@ -55,17 +56,27 @@ def test_query_equals_sql(spark, duck, name):
     assert bag(df.collect(), df.columns, order) == bag(result.fetchall(), columns, order)
 
 
-def test_only_the_hash_key_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"hash_surrogate_key"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_hash_key_is_a_function_of_its_parts(spark):
-    keys = entry.queries()["hash_surrogate_key"](spark, FOLDER)
-    again = entry.queries()["hash_surrogate_key"](spark, FOLDER).repartition(3)
-    assert bag(keys.collect(), keys.columns, keys.columns) == bag(
-        again.collect(), again.columns, keys.columns)
-    assert keys.count() == spark.read.parquet(f"{FOLDER}/orders.parquet").count()
+def test_a_changed_threshold_is_noticed(spark, duck, monkeypatch):
+    """The SQL of the structured reports does not read the lines under test."""
+    import dataclasses
+
+    from studylake.quality import structured
+
+    first, *rest = [s for s in structured.BRONZE_ASSESSMENTS if s.warn is not None]
+    others = [s for s in structured.BRONZE_ASSESSMENTS if s is not first]
+    monkeypatch.setattr(structured, "BRONZE_ASSESSMENTS",
+                        [dataclasses.replace(first, warn=0.77), *others])
+    df = QUERIES["dq_threshold_report"](spark, FOLDER)
+    result = duck.execute(SQL["dq_threshold_report"])
+    columns = [c[0] for c in result.description]
+    order = sorted(columns)
+    assert bag(df.collect(), df.columns, order) != bag(result.fetchall(), columns, order)

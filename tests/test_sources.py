@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from studylake import schemas
+from studylake import schemas, session
 from studylake.quality import audit
 from studylake.sources import raw, tables
 
@@ -50,6 +50,15 @@ def test_discovery(spark, folder, tmp_path):
         raw.discover(spark, str(tmp_path / "none"))
 
 
+def test_source_counts_of_any_file_name(spark, tmp_path):
+    sizes = {"a b": 2, "c%20d": 1, "e+f": 3, "\u00fcber \u00e9t\u00e9": 4, "header only": 0, "UP.CSV": 1}
+    for name, n in sizes.items():
+        file = tmp_path / (name if name.endswith(".CSV") else f"{name}.csv")
+        file.write_text("k,v\n" + "1,x\n" * n)
+    counts = raw.source_row_counts(spark, str(tmp_path), day(), now())
+    assert {r["source_file"]: r["row_count"] for r in counts.collect()} == sizes
+
+
 def test_source_counts(spark, folder, rows):
     counts = raw.source_row_counts(spark, folder, day(), now(), multiline=True)
     assert [(r["source_file"], r["row_count"]) for r in counts.collect()] == [
@@ -85,6 +94,40 @@ def test_versions(spark, tmp_path):
     assert lake.write("silver", "t", current.union(spark.range(1))).count() == 4
     os.makedirs(tmp_path / "lake" / "silver" / "t" / "v000009")  # unfinished: no marker
     assert lake.read("silver", "t").count() == 4
+    assert lake.write("silver", "t", spark.range(7)).count() == 7
+    assert lake.retire("silver", "t") == [1, 2, 9] and lake.read("silver", "t").count() == 7
+    assert os.listdir(tmp_path / "lake" / "silver" / "t") == ["v000010"]
+    assert lake.retire("silver", "t") == [] and lake.retire("silver", "none") == []
+    with pytest.raises(ValueError):
+        lake.retire("silver", "t", keep=0)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        spark.range(1).write.mode("error").parquet(lake.path("silver", "t", 10))
+
+
+def test_scratch_tables_go_with_their_run(spark):
+    with session.scratch_run(spark) as folder:
+        kept = session.materialize(spark.range(3))
+        assert kept.count() == 3 and session.scratch_folder(spark) == folder
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and session.scratch_folder(spark) != folder
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_folder(Session())
 
 
 def test_store_assignment(spark):
@@ -103,8 +146,17 @@ def test_overwrite_and_append(spark, tmp_path):
     tables.overwrite_table(spark.range(3), "id int", path)
     tables.overwrite_table(spark.range(2), "id int", path)
     assert spark.read.parquet(path).count() == 2
-    results = spark.createDataFrame([("BRONZE", 1)], "layer_name string, n int")
     log = str(tmp_path / "log")
-    tables.append_results(results, log)
-    tables.append_results(results, log)
-    assert spark.read.parquet(log).count() == 2
+
+    def results(table, day):
+        names = [f.split(" ")[0] for f in schemas.CHECK_RESULT.split(", ")]
+        known = {"layer_name": F.lit("BRONZE"), "table_name": F.lit(table), "checked_at": F.lit(day)}
+        return spark.range(2).select(*[known.get(n, F.lit(None)).alias(n) for n in names])
+
+    tables.append_results(results("a", "2024-01-01 00:00:00"), log)
+    tables.append_results(results("b", "2024-01-01 00:00:00"), log)
+    tables.append_results(results("a", "2024-01-01 00:00:00"), log)
+    assert tables.read_results(spark, log).count() == 4
+    tables.append_results(results("a", "2024-01-02 00:00:00"), log)
+    found = tables.read_results(spark, log)
+    assert found.count() == 6 and found.select("checked_at").distinct().count() == 2
