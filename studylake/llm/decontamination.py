@@ -185,12 +185,12 @@ def keep_clean(
     """The rows of ``docs`` whose text holds no window of the benchmark."""
     marker = F.struct(F.col(key).alias("key"), F.md5(F.col(text)).alias("body"))
     found = find_contamination(
-        docs.select(marker.alias("_row"), F.col(text).alias("_text")), benchmark,
-        "_row", "_text", item, item_text)
+        docs.select(marker.alias("_llm_row"), F.col(text).alias("_llm_text")), benchmark,
+        "_llm_row", "_llm_text", item, item_text)
     gone = materialize(
-        found.filter(F.col("n_hit") > 0).select("_row.key", "_row.body").distinct()
-        .withColumnsRenamed({"key": "_key", "body": "_body"}))
-    hashed = docs.withColumn("_hash", F.md5(F.col(text)))
+        found.filter(F.col("n_hit") > 0).select("_llm_row.key", "_llm_row.body").distinct()
+        .withColumnsRenamed({"key": "_llm_key", "body": "_llm_body"}))
+    hashed = docs.withColumn("_llm_hash", F.md5(F.col(text)))
     return hashed.join(
-        gone.hint("shuffle_hash"), (F.col("_hash") == F.col("_body")) & F.col(key).eqNullSafe(F.col("_key")),
-        "left_anti").drop("_hash")
+        gone.hint("shuffle_hash"), (F.col("_llm_hash") == F.col("_llm_body")) & F.col(key).eqNullSafe(F.col("_llm_key")),
+        "left_anti").drop("_llm_hash")

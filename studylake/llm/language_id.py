@@ -126,7 +126,7 @@ def sample(train: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS) -> D
     usable = train.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"),
                           F.xxhash64(*train.columns).alias("draw")).dropna(subset=["lang", "text"])
     sizes = materialize(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
-    drawn = usable.join(F.broadcast(sizes), "lang").filter(
+    drawn = usable.join(sizes, "lang").filter(
         F.pmod("draw", F.lit(_FIXED)) * F.col("_n") < rows * _FIXED)
     return drawn.select("lang", "text")
 

@@ -25,7 +25,7 @@ DIVISOR = 4
 LONG_LINE = 50
 
 _CHUNK = "array<struct<start:int,size:int>>"
-_CHUNKS, _PLACES, _UNEQUAL = "_chunk_texts", "_repeated_places", "_unequal_places"
+_CHUNKS, _PLACES, _UNEQUAL = "_llm_chunks", "_llm_places", "_llm_unequal"
 
 
 def _split_lines(text: Column) -> Column:
@@ -123,31 +123,31 @@ def remove_repeated_chunks(
         .filter(F.col("n") > 1).select("hash", "first"))
     repeated = (
         places.join(first, "hash")
-        .groupBy(F.col("key").alias("_key"), F.col("body").alias("_body"))
+        .groupBy(F.col("key").alias("_llm_key"), F.col("body").alias("_llm_body"))
         .agg(F.collect_set(F.struct("place", "hash", (at == F.col("first")).alias("stays")))
              .alias(_PLACES)))
 
     # the texts meet their places in one shuffle, whatever the sizes
-    whole = docs.select(*carried, F.xxhash64(F.col(text)).alias("_hash"))
+    whole = docs.select(*carried, F.xxhash64(F.col(text)).alias("_llm_hash"))
     known = materialize(repeated).hint("shuffle_hash")
     marked = materialize(whole.join(
-        known, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_body")), "left"
-    ).select(*carried, "_hash", _PLACES))
+        known, F.col(key).eqNullSafe(F.col("_llm_key")) & (F.col("_llm_hash") == F.col("_llm_body")), "left"
+    ).select(*carried, "_llm_hash", _PLACES))
 
     # byte comparison of every later copy with the first one
     several = with_chunks(marked.filter(F.col(_PLACES).isNotNull()), text, _CHUNKS, **cut).select(
-        F.col(key).alias("key"), F.col("_hash").alias("body"),
+        F.col(key).alias("key"), F.col("_llm_hash").alias("body"),
         F.explode(F.transform(F.col(_PLACES), lambda p: F.struct(
             p["hash"].alias("hash"), p["place"].alias("place"), p["stays"].alias("stays"),
             F.get(F.col(_CHUNKS), p["place"]).alias("chunk")))).alias("c")).select("key", "body", "c.*")
     kept = materialize(several.filter("stays").groupBy("hash").agg(F.min("chunk").alias("kept")))
     unequal = materialize(
         several.filter(~F.col("stays")).join(kept, "hash").filter(F.col("chunk") != F.col("kept"))
-        .groupBy(F.col("key").alias("_key"), F.col("body").alias("_body"))
+        .groupBy(F.col("key").alias("_llm_key"), F.col("body").alias("_llm_body"))
         .agg(F.collect_set("place").alias(_UNEQUAL)))  # chunks that share a 64-bit hash alone
 
     judged = marked.join(
-        unequal, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_body")), "left"
+        unequal, F.col(key).eqNullSafe(F.col("_llm_key")) & (F.col("_llm_hash") == F.col("_llm_body")), "left"
     ).select(*carried, _PLACES, _UNEQUAL)
     gone = F.array_except(
         F.transform(F.filter(F.col(_PLACES), lambda p: ~p["stays"]), lambda p: p["place"]),

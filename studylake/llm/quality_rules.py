@@ -181,7 +181,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
     They replace columns of those names.
     """
-    body, found = F.coalesce(F.col(text), F.lit("")), "_words"
+    body, found = F.coalesce(F.col(text), F.lit("")), "_llm_words"
     known = Text(body, {"words": F.col(found)})
     return docs.drop(*STATISTICS).withColumn(found, words(body)).withColumns(
         {name: getattr(known, name) for name in STATISTICS}
@@ -257,5 +257,5 @@ def with_verdict(
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The rows whose text no rule rejects, with their columns unchanged."""
-    verdict = "_rejected_by"
+    verdict = "_llm_rejected_by"
     return with_verdict(docs, rules, text, name=verdict).filter(F.col(verdict).isNull()).drop(verdict)

@@ -62,29 +62,29 @@ def shuffle_into_shards(
 
     # at most one row per shard
     weights = rows.groupBy("shard").agg(
-        F.greatest(F.ceil(F.sum("size") / bucket_bytes), F.lit(1)).cast("int").alias("_buckets"))
+        F.greatest(F.ceil(F.sum("size") / bucket_bytes), F.lit(1)).cast("int").alias("_llm_buckets"))
     weights = materialize(weights)
-    total = weights.agg(F.sum("_buckets")).first()[0] or 1
+    total = weights.agg(F.sum("_llm_buckets")).first()[0] or 1
 
     scattered = rows.join(F.broadcast(weights), "shard").withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed), key, "text_crc32", "size"), F.col("_buckets")))
+        "_llm_bucket", F.pmod(F.xxhash64(F.lit(seed), key, "text_crc32", "size"), F.col("_llm_buckets")))
     fields = [*carried, "size", "text_crc32", "grown_shard"]
     mixed = (
-        scattered.repartition(int(total), "shard", "_bucket")
-        .sortWithinPartitions("shard", "_bucket", key, "text_crc32", "size")
-        .groupBy("shard", "_bucket").agg(F.collect_list(F.struct(*fields)).alias("_rows"))
-        .select("shard", "_bucket", F.posexplode(F.shuffle("_rows", F.lit(seed))).alias("_place", "_row"))
-        .select(*[F.col("_row")[c].alias(c) for c in fields], "_bucket", "_place", "shard"))
+        scattered.repartition(int(total), "shard", "_llm_bucket")
+        .sortWithinPartitions("shard", "_llm_bucket", key, "text_crc32", "size")
+        .groupBy("shard", "_llm_bucket").agg(F.collect_list(F.struct(*fields)).alias("_llm_rows"))
+        .select("shard", "_llm_bucket", F.posexplode(F.shuffle("_llm_rows", F.lit(seed))).alias("_llm_place", "_llm_row"))
+        .select(*[F.col("_llm_row")[c].alias(c) for c in fields], "_llm_bucket", "_llm_place", "shard"))
     path = path or f"{scratch_folder(docs.sparkSession)}/{uuid.uuid4().hex}"
     mixed.write.partitionBy("shard").parquet(path)
     schema = T.StructType([f for f in mixed.schema.fields if f.name != "shard"]).add(
         "shard", T.IntegerType())
     written = docs.sparkSession.read.schema(schema).parquet(path)
 
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(
+    before = Window.partitionBy("shard").orderBy("_llm_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = written.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
-        "shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return written.join(materialize(starts), ["shard", "_bucket"]).select(
+    starts = written.groupBy("shard", "_llm_bucket").agg(F.count(F.lit(1)).alias("_n")).select(
+        "shard", "_llm_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_llm_start"))
+    return written.join(materialize(starts), ["shard", "_llm_bucket"]).select(
         *carried, "size", "text_crc32", "shard",
-        (F.col("_start") + F.col("_place")).cast("long").alias("slot"), "grown_shard")
+        (F.col("_llm_start") + F.col("_llm_place")).cast("long").alias("slot"), "grown_shard")
