@@ -10,10 +10,11 @@ fixed random order of its own.
 1. Texts with equal sets are one class, named by its least key.
 2. 32 bands of five registers give candidates: two sets of similarity 0.8 miss
    all bands with probability 3e-6, more similar ones less.
-3. In a band's bucket every member is paired with one hub, so a group of n gives
-   n - 1 pairs. Members that the verified links leave apart are then paired
-   across, with everything in the bucket that is not yet joined to them; no
-   candidate between separate groups goes unseen, and no group is expanded.
+3. In a band's bucket every member is paired with one hub, drawn by hash, so a
+   group of n gives n - 1 pairs. Members that the links leave in different
+   components are paired with the bucket's most common member, and at last by a
+   positional prefix filter on their rarest shingles, which is exact and in a group
+   of near copies leaves few pairs. No link is lost and no group is expanded.
 4. A pair must first pass the Jaccard estimate, corrected for registers that
    agree by chance (six standard errors of slack; small sets skip it), and is
    then confirmed on the full sets.
@@ -40,6 +41,10 @@ BANDS = 32
 ROWS = 5
 SHINGLE = 5
 PERCENT = 80
+#: Hubs that a group of near copies is compared with, about.
+HUBS = 4
+#: Cells of the table that orders shingles by frequency (8 MB).
+CELLS = 1 << 20
 
 _SHIFT = np.uint64(64 - 8)
 _SLACK = 6.0
@@ -127,6 +132,44 @@ def _listed(shingle: int):
     return run
 
 
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, shingles in it) over the sets of a task."""
+    table = np.zeros(CELLS, dtype=np.int64)
+    for batch in batches:
+        for found in batch.column("hashes"):
+            table += np.bincount(_cell(np.frombuffer(found.as_py(), np.uint64)), minlength=CELLS)
+    cells = np.flatnonzero(table)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(cells, pa.int32()), pa.array(table[cells])], names=["cell", "n"])
+
+
+def _rarest(table: np.ndarray, percent: int):
+    """(key, n, commonness, shingles): the prefix of every set, the rarest shingle first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, means, prefixes = [], [], []
+            for found in batch.column("hashes"):
+                hashes = np.frombuffer(found.as_py(), np.uint64)
+                size = len(hashes)
+                # a linked set shares at least this many
+                common = -(-percent * size // 100)
+                often = table[_cell(hashes)]
+                order = np.lexsort((hashes, often))
+                sizes.append(size)
+                means.append(float(often.mean()) if size else 0.0)
+                prefixes.append(hashes[order[:size - common + 1]].view(np.int64))
+            bounds = np.cumsum([0, *map(len, prefixes)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(sizes, pa.int64()), pa.array(means, pa.float64()),
+                 lists(np.concatenate([np.empty(0, np.int64), *prefixes]), bounds, pa.int64())],
+                names=["key", "n", "commonness", "shingles"])
+    return run
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
 
@@ -201,8 +244,9 @@ class _Linker:
             map_batches(sketched, _plausible(self.percent), pair).distinct())
         needed = materialize(plausible.select(F.col("a").alias("key")).unionByName(
             plausible.select(F.col("b").alias("key"))).distinct())
+        # texts are shuffled whatever the number of candidates
         sets = materialize(map_batches(
-            self.texts.join(needed, "key", "left_semi"),
+            self.texts.join(needed.hint("shuffle_hash"), "key", "left_semi"),
             _listed(self.shingle), f"key {self.kind}, hashes binary"))
         full = self._sides(plausible, sets, hashes="h")
         return materialize(map_batches(full, _confirmed(self.percent), pair).distinct())
@@ -231,29 +275,25 @@ def near_duplicates(
     classes = materialize(named.join(least, ["set_id", "key"]).select("key", "n", "sketch"))
     banded = materialize(
         map_batches(classes, _banded, f"key {kind}, n bigint, bands array<bigint>")
-        .select("key", "n", F.explode("bands").alias("band")))
+        .select("key", "n", F.posexplode("bands").alias("place", "band")))
+    shared = materialize(
+        banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"))
+        .filter(F.col("members") > 1).select("band"))
+    members = materialize(banded.join(shared, "band", "left_semi"))
+    draw = F.xxhash64("key", F.col("place") % HUBS)
     hubs = materialize(
-        banded.groupBy("band").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("members"))
-        .filter(F.col("members") > 1))
-    stars = materialize(
-        banded.join(hubs, "band").filter(F.col("key") != F.col("hub"))
-        .select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct())
+        members.groupBy("band").agg(F.min(F.struct(draw.alias("draw"), "key"))["key"].alias("hub")))
+    stars = materialize(_pairs(
+        members.join(hubs, "band").filter(F.col("key") != F.col("hub")), "hub", "key"))
 
     linker = _Linker(texts, classes, shingle, percent)
     labels = components(linker(stars))
-    across = linker(_pairs_across(banded, hubs, labels, stars, percent))
-    if not across.isEmpty():
-        named_by = labels.select(F.col("node").alias("key"), "label")
-        for side in ("a", "b"):
-            renamed = named_by.select(F.col("key").alias(side), F.col("label").alias("_label"))
-            across = across.join(renamed, side, "left").withColumn(
-                side, F.coalesce("_label", side)).drop("_label")
-        merged = components(across).select(
-            F.col("node").alias("label"), F.col("label").alias("_final"))
-        grown = named_by.unionByName(
-            merged.select(F.col("label").alias("key"), "label")).distinct()
-        labels = materialize(grown.join(merged, "label", "left").groupBy(
-            F.col("key").alias("node")).agg(F.min(F.coalesce("_final", "label")).alias("label")))
+    ranked, tried = _ranked(members, labels, linker), stars
+    for pairs_of in (_central_pairs, _prefix_pairs):
+        pairs = materialize(pairs_of(members, labels, ranked, linker).join(
+            tried, ["a", "b"], "left_anti"))
+        labels = _merged(labels, linker(pairs))
+        tried = tried.unionByName(pairs)
 
     whole = materialize(least.join(labels, least["key"] == labels["node"], "left").select(
         "set_id", F.coalesce("label", "key").alias("component_id")))
@@ -265,37 +305,103 @@ def near_duplicates(
         F.coalesce(F.col("key") == own, F.lit(True)).alias("kept"))
 
 
-def _pairs_across(
-    banded: DataFrame, hubs: DataFrame, labels: DataFrame, stars: DataFrame, percent: int
-) -> DataFrame:
-    """Candidates that the stars did not pair and whose ends are still apart.
+def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return rows.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
-    Per bucket, the members outside its most frequent label meet the members of
-    every other label with a fitting size. Buckets of one label give nothing.
-    """
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further links, of nodes with or without a label."""
+    if links.isEmpty():
+        return labels
+    named = labels.select(F.col("node").alias("key"), "label")
+    for side in ("a", "b"):
+        renamed = named.select(F.col("key").alias(side), F.col("label").alias("_label"))
+        links = links.join(renamed, side, "left").withColumn(
+            side, F.coalesce("_label", side)).drop("_label")
+    joined = components(links).select(F.col("node").alias("label"), F.col("label").alias("_final"))
+    grown = named.unionByName(joined.select(F.col("label").alias("key"), "label")).distinct()
+    return materialize(grown.join(joined, "label", "left").groupBy(F.col("key").alias("node")).agg(
+        F.min(F.coalesce("_final", "label")).alias("label")))
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets with several components: (band, key, label)."""
     named = labels.select(F.col("node").alias("key"), "label")
-    members = (
-        banded.join(hubs.filter(F.col("members") > 2), "band")
-        .join(named, "key", "left")
-        .select("band", "key", "n", F.coalesce("label", "key").alias("label"),
-                (F.col("key") == F.col("hub")).alias("is_hub")))
-    members = materialize(members)
-    mixed = materialize(members.groupBy("band").agg(
+    labelled = materialize(members.join(named, "key", "left").select(
+        "band", "key", F.coalesce("label", "key").alias("label")))
+    mixed = materialize(labelled.groupBy("band").agg(
         F.min("label").alias("low"), F.max("label").alias("high"))
         .filter(F.col("low") != F.col("high")).select("band"))
-    shares = members.join(mixed, "band", "left_semi").groupBy("band", "label").agg(
-        F.count(F.lit(1)).alias("_n"))
-    major = materialize(shares.groupBy("band").agg(
-        F.max(F.struct("_n", "label"))["label"].alias("major")))
-    apart = materialize(members.join(major, "band").filter(~F.col("is_hub")))
-    few = apart.filter(F.col("label") != F.col("major")).select(
-        "band", F.col("key").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    met = apart.select("band", F.col("key").alias("y"), F.col("n").alias("ny"),
-                       F.col("label").alias("ly")).join(few, "band").filter(
-        (F.col("lx") != F.col("ly"))
-        & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent))
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return materialize(pairs.join(stars, ["a", "b"], "left_anti"))
+    return materialize(labelled.join(mixed, "band", "left_semi"))
+
+
+def _ranked(members: DataFrame, labels: DataFrame, linker: _Linker) -> DataFrame:
+    """(key, n, commonness, shingles) for the members of mixed buckets.
+
+    ``shingles`` is the prefix, the rarest first; ``commonness`` the mean frequency
+    of all. Shingles are ordered by how many of these members have one of the
+    same cell, then by hash; the cells are a table of fixed size.
+    """
+    apart = _mixed(members, labels).select("key").distinct()
+    texts = linker.texts.join(apart.hint("shuffle_hash"), "key", "left_semi")
+    sets = materialize(map_batches(
+        texts, _listed(linker.shingle), f"key {linker.kind}, hashes binary"))
+    counted = map_batches(sets, _cells, "cell int, n bigint").groupBy("cell").agg(
+        F.sum("n").alias("n")).toArrow()  # at most one row per cell
+    table = np.zeros(CELLS, dtype=np.int64)
+    table[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+    shared, percent = members.sparkSession.sparkContext.broadcast(table), linker.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _rarest(shared.value, percent)(batches)
+
+    return materialize(map_batches(
+        sets, run, f"key {linker.kind}, n bigint, commonness double, shingles array<bigint>"))
+
+
+def _central_pairs(
+    members: DataFrame, labels: DataFrame, ranked: DataFrame, linker: _Linker
+) -> DataFrame:
+    """Per mixed bucket, its most common member with those of other components."""
+    mixed = _mixed(members, labels).join(
+        ranked.groupBy("key").agg(F.max("commonness").alias("commonness")), "key")
+    hubs = materialize(mixed.groupBy("band").agg(
+        F.max(F.struct("commonness", "key", "label")).alias("best")).select(
+        "band", F.col("best.key").alias("hub"), F.col("best.label").alias("hub_label")))
+    return _pairs(mixed.join(hubs, "band").filter(F.col("label") != F.col("hub_label")), "hub", "key")
+
+
+def _prefix_pairs(
+    members: DataFrame, labels: DataFrame, ranked: DataFrame, linker: _Linker
+) -> DataFrame:
+    """Members of different components whose prefixes leave room for a link.
+
+    At the first shingle that two sets share in the common order, at places i and j,
+    they can share no more than 1 + min(n - i - 1, m - j - 1); a link needs
+    ``percent`` / (100 + ``percent``) of n + m. Per shingle, the rows outside its most
+    frequent component meet the rows of every other one.
+    """
+    percent = linker.percent
+    apart = _mixed(members, labels).select("key", "label").distinct()
+    prefixes = materialize(
+        ranked.join(apart, "key").select(
+            "key", "n", "label", F.posexplode("shingles").alias("place", "shingle"))
+        .select("key", "label", "shingle", "n", (F.col("n") - F.col("place")).alias("room")))
+    several = materialize(prefixes.groupBy("shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter(F.col("low") != F.col("high")).select("shingle"))
+    rows = materialize(prefixes.join(several, "shingle", "left_semi"))
+    major = materialize(
+        rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("shingle").agg(F.max(F.struct("_n", "label"))["label"].alias("major")))
+    few = materialize(
+        rows.join(major, "shingle").filter(F.col("label") != F.col("major"))
+        .select("shingle", F.col("key").alias("x"), F.col("n").alias("nx"),
+                F.col("room").alias("rx"), F.col("label").alias("lx")))
+    met = rows.join(few, "shingle").filter(
+        (F.col("lx") != F.col("label"))
+        & (F.least("rx", "room") * (100 + percent) >= (F.col("nx") + F.col("n")) * percent))
+    return _pairs(met, "x", "key")
 
 
 def keep_one(
@@ -305,4 +411,4 @@ def keep_one(
     """The rows of ``docs`` without those of a group's documents other than its first."""
     found = near_duplicates(docs, key, text, shingle, percent)
     gone = materialize(found.filter(~F.col("kept")).select(key).distinct())
-    return docs.join(gone, key, "left_anti")
+    return docs.join(gone.hint("shuffle_hash"), key, "left_anti")
