@@ -14,6 +14,7 @@ from studylake.llm import (
     language_id,
     line_dedup,
     near_dedup,
+    oracle,
     quality_rules,
     sharding,
     token_counts,
@@ -24,7 +25,7 @@ from studylake.llm.registry import QUERIES, SQL, query, table  # noqa: F401
 from studylake.session import scratch_folder
 
 
-@query("op5_quality_rules")
+@query("op5_quality_rules", oracle.OP5)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged = quality_rules.with_verdict(
@@ -48,7 +49,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op6_decontamination")
+@query("op6_decontamination", oracle.OP6)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.find_contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -96,7 +97,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "template_share")
 
 
-@query("op4_warc")
+@query("op4_warc", oracle.OP4)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
     warc.write_warc(warc.plan_records(table(spark, folder, "pages")), path)
