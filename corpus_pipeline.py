@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes repeated passages out; a document of which nothing is left goes too."""
-    cleaned = line_dedup.remove_repeated_chunks(docs)
+    cleaned = line_dedup.remove_repeated_passages(docs)
     left = (F.col("n_removed") == 0) | (F.size(quality_rules.words(F.col("text"))) > 0)
     text = F.col("text")
     return cleaned.filter(left).select(

@@ -41,7 +41,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_line_dedup")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    cleaned = line_dedup.remove_repeated_chunks(docs)
+    cleaned = line_dedup.remove_repeated_passages(docs)
     return cleaned.select(
         "doc_id", "n_chunks", "n_removed",
         F.length("text").cast("long").alias("n_chars_kept"),
