@@ -99,3 +99,20 @@ def test_odd_rows(spark, documents, odd_rows):
     rows = line_dedup.remove_repeated_passages(documents(odd_rows)).collect()
     assert sorted(repr(r["text"]) for r in rows) == sorted(repr(t) for _, t in odd_rows)
     assert line_dedup.remove_repeated_passages(documents([])).count() == 0
+
+
+def test_exact_copies_leave_nothing(spark, documents, small):
+    """Every later copy of a text of several lines goes whole, in the pipeline its row too."""
+    import corpus_pipeline
+
+    draw = random.Random(8)
+    line = liner(draw)
+    texts = ["\n".join(line() for _ in range(draw.randrange(2, 30))) for _ in range(100)]
+    texts += ["\n\n" + texts[0] + "\n \n", "a b\n\nc d"]
+    rows = [(1000 * copy + i, t) for copy in range(3) for i, t in enumerate(texts)]
+    found = result(line_dedup.remove_repeated_passages(documents(rows)))
+    assert all(found[1000 * copy + i][2] == "" for copy in (1, 2) for i in range(len(texts)))
+    assert all(found[i] == (len(units(t)), 0, t) for i, t in enumerate(texts[:100]))
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["line dedup"](
+        spark, documents(rows).select("doc_id", "text", "lang", "source", "n_chars"), small).collect()}
+    assert kept == set(range(100)) | {101}
