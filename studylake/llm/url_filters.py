@@ -33,8 +33,6 @@ _VARIABLE = (
     r"^(\d+|[0-9a-fA-F]{8,}|[0-9a-fA-F-]{16,}|\d{4}-\d{2}(-\d{2})?|\S{32,})(\.\w{1,5})?$"
 )
 
-#: Deeper segments count as one.
-MAX_DEPTH = 8
 PURITY = 0.9
 #: Siblings are nearly all distinct from this many on, at this share of the urls.
 MANY = 20
@@ -80,25 +78,41 @@ def _with_rule(places: DataFrame, rules: DataFrame) -> DataFrame:
     return places.join(fitting, ["host", "path"], "left")
 
 
-def _segments(path: Column, depth: int) -> Column:
+def _shapes(path: Column) -> Column:
+    """The segments of a path, variable ones as ``*``."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    return F.when(F.size(parts) <= depth, parts).otherwise(
-        F.concat(F.slice(parts, 1, depth), F.array(F.lit("**"))))
+    return F.transform(parts, lambda s: F.when(s.rlike(_VARIABLE), F.lit("*")).otherwise(s))
 
 
-def with_templates(
-    places: DataFrame, depth: int = MAX_DEPTH, significant: float = SIGNIFICANT
-) -> DataFrame:
+def _past_common(tree: DataFrame, node: list[str]) -> DataFrame:
+    """Every url past the segments that all unfinished urls of its node go on with.
+
+    No branch varies there, so nothing could be merged: a node with one url is done at once.
+    """
+    going = F.size("_rest") > 0
+    ends = materialize(tree.filter(going).groupBy(*node).agg(
+        F.min("_rest").alias("least"), F.max("_rest").alias("most")))
+    differ = F.array_position(F.zip_with("least", "most", lambda a, b: a.eqNullSafe(b)), False)
+    common = F.when(differ > 0, differ - 1).otherwise(F.size("least")).cast("int")
+    counted = ends.select(*node, common.alias("_common"))
+    joined = tree.join(counted, node, "left").withColumn(
+        "_common", F.when(going, F.col("_common")).otherwise(0))
+    passed = F.transform(
+        F.slice("_rest", F.lit(1), F.col("_common")), lambda s: F.concat(F.lit("/"), s))
+    return materialize(joined.select(
+        *[c for c in tree.columns if c not in ("_rest", "template")],
+        F.slice("_rest", F.col("_common") + 1, F.size("_rest")).alias("_rest"),
+        F.concat("template", F.array_join(passed, "")).alias("template")))
+
+
+def with_templates(places: DataFrame, significant: float = SIGNIFICANT) -> DataFrame:
     """Adds ``template`` to (host, path, bad), where bad is 1, 0 or NULL (no label)."""
     known = places.columns
-    tree = materialize(places.withColumn("_segments", _segments(F.col("path"), depth))
+    tree = materialize(places.withColumn("_rest", _shapes(F.col("path")))
                        .withColumn("template", F.lit("")))
-    deepest = tree.agg(F.max(F.size("_segments"))).first()[0] or 0
     node = ["host", "template"]
-    for level in range(deepest):
-        here = tree.withColumn("_segment", F.get("_segments", F.lit(level)))
-        shape = F.when(F.col("_segment").rlike(_VARIABLE), F.lit("*")).otherwise(F.col("_segment"))
-        here = here.withColumn("_segment", shape)
+    while not tree.filter(F.size("_rest") > 0).isEmpty():
+        here = _past_common(tree, node).withColumn("_segment", F.get("_rest", F.lit(0)))
         branches = materialize(
             here.filter(F.col("_segment").isNotNull()).groupBy(*node, "_segment")
             .agg(F.count(F.lit(1)).alias("n"), F.count("bad").alias("l"),
@@ -117,7 +131,7 @@ def with_templates(
             *node, "_segment",
             F.when(alike | scattered, F.lit("*")).otherwise(F.col("_segment")).alias("_step")))
         tree = materialize(here.join(step, [*node, "_segment"], "left").select(
-            *known, "_segments",
+            *known, F.slice("_rest", 2, F.greatest(F.size("_rest"), F.lit(1))).alias("_rest"),
             F.concat("template", F.coalesce(F.concat(F.lit("/"), "_step"), F.lit("")))
             .alias("template")))
     return tree.select(*known, "template")
@@ -125,7 +139,6 @@ def with_templates(
 
 def judge_urls(
     pages: DataFrame, rules: DataFrame, url: str = "url", purity: float = PURITY,
-    depth: int = MAX_DEPTH,
 ) -> DataFrame:
     """Adds host, path, rule, template, template_share and verdict to ``pages``.
 
@@ -141,7 +154,7 @@ def judge_urls(
     places = _with_rule(materialize(placed.select("host", "path").distinct()), rules)
     labelled = places.withColumn(
         "bad", F.when(F.col("rule_verdict") == "block", 1).when(F.col("rule").isNotNull(), 0))
-    tree = with_templates(labelled, depth)
+    tree = with_templates(labelled)
     shares = materialize(tree.groupBy("host", "template").agg(
         ((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.count("bad") + 2)).alias("template_share")))
     judged = materialize(tree.join(shares, ["host", "template"]).select(
