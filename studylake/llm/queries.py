@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from studylake.llm import (
     decontamination,
     language_id,
     line_dedup,
+    merkle,
     near_dedup,
     oracle,
     quality_rules,
@@ -122,3 +124,18 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     asked = docs.select("doc_id", held_out.alias("held_out"), "text")
     return language_id.predict(asked, model).select(
         "doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    fields = {f: F.col(f) for f in merkle.FIELDS} | {
+        "text": F.when(tampered, lowered).otherwise(F.col("text"))}
+    found = merkle.manifest(docs, carry={
+        "doc_id": F.col("doc_id"), "found_leaf": merkle.leaf_hash(*fields.values())})
+    folded = merkle.fold(F.col("found_leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
