@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from studylake.llm import (
     bpe,
+    conversations,
     decontamination,
     language_id,
     line_dedup,
@@ -139,3 +140,9 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("path")).alias("proof_sha256"),
         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    damaged, left = conversations.damage(table(spark, folder, "conversations"))
+    return conversations.repair_conversations(damaged, present=left).conversations
