@@ -13,6 +13,7 @@ from studylake.llm import (
     bpe,
     conversations,
     decontamination,
+    html_extraction,
     language_id,
     line_dedup,
     merkle,
@@ -146,3 +147,9 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     damaged, left = conversations.damage(table(spark, folder, "conversations"))
     return conversations.repair_conversations(damaged, present=left).conversations
+
+
+@query("op11_html_extraction")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extraction.extract_main_text(pages)
