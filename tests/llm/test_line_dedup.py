@@ -1,11 +1,9 @@
-import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from studylake.llm import line_dedup
-from studylake.llm.queries import QUERIES
 
 
 def n_words(text):
@@ -69,14 +67,6 @@ def python_chunks(text):
     return chunks
 
 
-def test_query_equals_brute_force(spark, small, table):
-    wanted = brute([(r["doc_id"], r["text"]) for r in table("documents")])
-    for r in QUERIES["op9_line_dedup"](spark, small).collect():
-        removed, text = wanted[r["doc_id"]]
-        assert r["n_removed"] == removed
-        assert r["text_sha256"] == hashlib.sha256(text.encode()).hexdigest()
-
-
 def test_chunks_join_to_the_text(spark, documents, odd_rows):
     df = line_dedup.with_chunks(documents(odd_rows))
     for r in df.collect():

@@ -4,7 +4,7 @@ import pytest
 
 import corpus_pipeline
 import test_decontamination as decontamination_test
-import test_line_dedup as line_test
+import test_line_passages as line_test
 import test_near_dedup as near_test
 import test_quality_rules as quality_test
 from studylake.llm.queries import QUERIES
@@ -16,7 +16,7 @@ def expected(docs, items):
     """The rows that reach the last stage, by brute force: {doc_id: text}."""
     kept = [(r["doc_id"], r["text"]) for r in docs if quality_test.verdict(r["text"])[1]]
     cleaned = line_test.brute(kept)
-    kept = [(i, t) for i, (n, t) in sorted(cleaned.items()) if not n or line_test.n_words(t)]
+    kept = [(i, t) for i, (_, n, t) in sorted(cleaned.items()) if not n or t.encode().split()]
     groups = near_test.brute(kept, k=5)
     kept = [(i, t) for i, t in kept if groups[i][1] == i]
     hits = decontamination_test.brute([t for _, t in kept], items)
@@ -92,5 +92,5 @@ def test_registered(spark):
 
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
     assert set(QUERIES) <= names
