@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from studylake.functions import columns as fx
 from studylake.operators import aggregates, copies, joins, ranking, upsert
 from studylake.plans import analytics, silver
 from studylake.quality import audit
+from studylake.session import scratch_folder
 from studylake.sources import raw, tables
 
 LINE = ["l_orderkey", "l_linenumber"]
@@ -89,8 +92,19 @@ SELECT o_orderkey, o_totalprice,
        CAST(ntile(4) OVER (ORDER BY o_totalprice, o_orderkey) AS INT) AS quartile FROM orders""")
 def ntile_distributed(t: Learning) -> DataFrame:
     orders = t.table("orders").select("o_orderkey", "o_totalprice")
-    order = [F.col("o_totalprice").asc(), F.col("o_orderkey").asc()]
-    return ranking.with_ntile(orders, 4, order, "quartile")
+    return ranking.with_ntile_by_selection(orders, 4, ["o_totalprice", "o_orderkey"], "quartile")
+
+
+@query("ntile_dominant_value", """
+SELECT l_orderkey, l_linenumber, least(l_quantity, 30) AS units,
+       CAST(ntile(7) OVER (ORDER BY least(l_quantity, 30), l_shipdate, l_orderkey, l_linenumber) AS INT) AS part
+FROM lineitem""")
+def ntile_dominant_value(t: Learning) -> DataFrame:
+    """Two rows in five have one value, so most buckets begin inside it."""
+    lines = t.table("lineitem").select(
+        "l_orderkey", "l_linenumber", F.least("l_quantity", F.lit(30.0)).alias("units"), "l_shipdate")
+    order = ["units", "l_shipdate", "l_orderkey", "l_linenumber"]
+    return ranking.with_ntile_by_selection(lines, 7, order, "part").drop("l_shipdate")
 
 
 def _order_versions(t: Learning) -> tuple[DataFrame, DataFrame]:
@@ -129,6 +143,17 @@ def upsert_some_columns(t: Learning) -> DataFrame:
     return upsert.merge_upsert(target, batch, ["o_orderkey"], ["o_totalprice", "o_orderstatus"])
 
 
+@query("upsert_partitions", _MERGED.format(cust="o_custkey + 1"))
+def upsert_partitions(t: Learning) -> DataFrame:
+    """A stored table, of which a batch rewrites only the parts that hold its keys."""
+    target, batch = _order_versions(t)
+    path = f"{scratch_folder(t.spark)}/{uuid.uuid4().hex}"
+    by = upsert.key_range(F.col("o_orderkey"), 10_000)
+    for rows in (target, batch):
+        upsert.upsert_partitions(rows, path, ["o_orderkey"], by)
+    return upsert.read_partitions(t.spark, path, target.schema)
+
+
 # --- sources and sinks ---------------------------------------------------------------
 
 @query("bronze_stamp", """

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from studylake.session import materialize
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,3 +55,69 @@ def merge_upsert(
         for c in columns
     ])
     return kept.unionByName(merged)
+
+
+#: The column by which a partitioned table's folders are named.
+PART = "_part"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """A part for keys without an order: a hash of them, NULL included."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+
+def key_range(key: Column, width: int) -> Column:
+    """A part for a key that grows with time, so that a batch touches few: runs of ``width`` numbers or days."""
+    return F.floor(key / width)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table that ``upsert_partitions`` keeps, without its part column."""
+    return _stored(spark, path, schema).drop(PART)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
+
+
+def _is_there(path: str) -> bool:
+    files, folder = fs.FileSystem.from_uri(path)
+    return files.get_file_info(folder).type == fs.FileType.Directory
+
+
+def upsert_partitions(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    by: Column,
+    update_cols: Sequence[str] | None = None,
+    check: bool = True,
+) -> list[str]:
+    """Merge ``batch`` into the table at ``path``, rewriting only the parts that hold its keys.
+
+    Semantics are those of ``merge_upsert``. ``by`` names a row's part and may use key columns only, so that a
+    key's old and new row are in one part; it has to stay the same for the table's life. The parts of the
+    batch are listed (no more than the table has), their files alone are read and merged, and a dynamic
+    partition overwrite puts the new files in place of the old ones when all are written; other parts keep
+    their files. A part is rebalanced into several files where it is large. A run that was lost while files were
+    being moved can be repeated with the same batch, but for its rows with NULL keys, which never match and
+    are inserted each time. Returns the rewritten parts.
+    """
+    spark, columns = batch.sparkSession, batch.columns
+    placed = by.cast("string").alias(PART)
+    batch = materialize((require_unique(batch, keys) if check else batch).select(*columns, placed))
+    touched = [r[0] for r in batch.select(PART).distinct().collect()]
+    if not touched and _is_there(path):
+        return []
+    merged = batch
+    if _is_there(path):
+        names = [t for t in touched if t is not None]
+        hit = F.col(PART).isin(names) if names else F.lit(False)
+        if None in touched:
+            hit = hit | F.col(PART).isNull()
+        old = _stored(spark, path, T.StructType(batch.schema.fields[:-1])).filter(hit)
+        merged = merge_upsert(
+            old.select(*columns), batch.select(*columns), keys, update_cols, check=False).select(*columns, placed)
+    merged.hint("rebalance", PART).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+    return sorted(touched, key=lambda t: (t is not None, t or ""))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from studylake.functions import columns as fx
-from studylake.operators.ranking import with_ntile
+from studylake.operators.ranking import with_ntile_by_selection
+from studylake.session import materialize
 
 DEMOGRAPHICS = ("highest_education", "age_band", "imd_band", "disability")
 ID = "student_enrollment_id"
@@ -45,12 +46,9 @@ def enrollment_activity(engagement: DataFrame, performance: DataFrame) -> DataFr
 
 def engagement_performance(engagement: DataFrame, performance: DataFrame) -> DataFrame:
     """The activity rows with their engagement quartile, ties broken by enrollment."""
-    rows = enrollment_activity(engagement, performance)
-    order = [
-        F.col("total_clicks").asc(), F.col(ID).asc_nulls_first(),
-        F.col("assessment_count").asc_nulls_first(),
-    ]
-    return with_ntile(rows, 4, order, "engagement_quartile")
+    rows = materialize(enrollment_activity(engagement, performance))
+    order = ["total_clicks", ID, "assessment_count"]
+    return with_ntile_by_selection(rows, 4, order, "engagement_quartile")
 
 
 # --- withdrawal --------------------------------------------------------------

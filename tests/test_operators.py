@@ -1,3 +1,4 @@
+import re
 import random
 
 import pytest
@@ -78,6 +79,36 @@ def test_ntile(spark, rows, size, buckets):
     assert rows(ranking.with_ntile(frame, buckets, order)) == rows(expected)
 
 
+@pytest.mark.parametrize("size", [0, 1, 3, 6, 101])
+@pytest.mark.parametrize("few", [1, 20])
+def test_ntile_by_selection(spark, rows, size, few):
+    frame = spark.range(size, numPartitions=3).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("v"), F.col("id").alias("i"))
+    expected = frame.withColumn("ntile", F.ntile(4).over(Window.orderBy("v", "i")))
+    assert rows(ranking.with_ntile_by_selection(frame, 4, ["v", "i"], few=few)) == rows(expected)
+
+
+def test_selection_splits_a_dominant_value_by_the_next_columns(spark, rows):
+    """A third of the rows share their first column, another third NULL; texts, doubles and days as order."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 11).cast("int"))
+    frame = spark.range(3000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7.5).when(F.col("id") % 3 == 1, F.col("id") / 8).alias("v"),
+        F.when(F.col("id") % 7 > 0, F.md5(F.col("id").cast("string"))).alias("s"), day.alias("d"), "id")
+    order = ["v", "d", "s", "id"]
+    expected = frame.withColumn("part", F.ntile(9).over(Window.orderBy(*order)))
+    found = ranking.with_ntile_by_selection(frame, 9, order, "part", few=40)
+    assert rows(found) == rows(expected)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text
+
+
+@pytest.mark.parametrize("few", [2, 1000])
+def test_selection_among_equal_rows(spark, few):
+    frame = spark.range(100, numPartitions=4).select((F.col("id") >= 90).alias("v"))
+    found = ranking.with_ntile_by_selection(frame, 4, ["v"], few=few).groupBy("ntile").count().collect()
+    assert {r["ntile"]: r["count"] for r in found} == {1: 25, 2: 25, 3: 25, 4: 25}
+
+
 def test_position_under_one_dominant_value(spark, rows):
     frame = spark.range(5000, numPartitions=8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v"), "id")
@@ -215,3 +246,52 @@ def test_copies_of_one_row_are_split(spark):
     assert hot.agg(F.countDistinct("p"), F.max("p") - F.min("p") + 1).first()[0:2] == (n, n)
     got = copies.number_copies(frame, ["k"], ["t"]).filter("k = 0")
     assert got.agg(F.max("row_num"), F.countDistinct("row_num")).first()[0:2] == (n, n)
+
+
+def files(path):
+    return {str(f.relative_to(path)): f.read_bytes() for f in path.rglob("*.parquet")}
+
+
+def test_upsert_partitions_leaves_other_files_alone(spark, rows, tmp_path):
+    path, by = tmp_path / "table", upsert.key_range(F.col("k"), 10)
+    first = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("a"), F.lit("b").alias("b"))
+    assert len(upsert.upsert_partitions(first, str(path), ["k"], by)) == 10
+    before = files(path)
+    batch = pairs(spark, (12, "n", "y"), (17, "n", "y"), (45, "n", "y"), (230, "n", "y"))
+    assert upsert.upsert_partitions(batch, str(path), ["k"], by) == ["1", "23", "4"]
+    after = files(path)
+    kept = {f for f in before if f.split("/")[0] not in ("_part=1", "_part=4")}
+    assert kept and all(after[f] == before[f] for f in kept)
+    assert {f.split("/")[0] for f in after if f not in kept} == {"_part=1", "_part=4", "_part=23"}
+    wanted = rows(upsert.merge_upsert(first, batch, ["k"]))
+    found = lambda: rows(upsert.read_partitions(spark, str(path), first.schema))
+    assert found() == wanted
+    upsert.upsert_partitions(batch, str(path), ["k"], by)
+    assert found() == wanted
+    upsert.upsert_partitions(batch.limit(0), str(path), ["k"], by)
+    assert found() == wanted
+
+
+def test_upsert_partitions_columns_nulls_and_repeats(spark, rows, tmp_path):
+    path, by = str(tmp_path / "table"), upsert.key_bucket(["k"], 4)
+    target = pairs(spark, (1, "a", "x"), (None, "a", "x"))
+    batch = pairs(spark, (1, "n", "y"), (None, "n", "y"), (3, "n", "y"))
+    upsert.upsert_partitions(target, path, ["k"], by)
+    upsert.upsert_partitions(batch, path, ["k"], by, ["a"])
+    found = rows(upsert.read_partitions(spark, path, target.schema))
+    assert found == rows(upsert.merge_upsert(target, batch, ["k"], ["a"]))
+    with pytest.raises(Exception, match="several source rows"):
+        upsert.upsert_partitions(pairs(spark, (1, "a", "x"), (1, "b", "x")), path, ["k"], by)
+    ranged = str(tmp_path / "ranged")
+    for batch in (target, target):  # NULL keys lie in a part of their own and never match
+        upsert.upsert_partitions(batch, ranged, ["k"], upsert.key_range(F.col("k"), 10))
+    assert rows(upsert.read_partitions(spark, ranged, target.schema)) == sorted(
+        [(1, "a", "x"), (None, "a", "x"), (None, "a", "x")], key=repr)
+
+
+def test_upsert_partitions_reads_the_touched_parts_only(spark, tmp_path):
+    path, by = str(tmp_path / "table"), upsert.key_range(F.col("k"), 10)
+    upsert.upsert_partitions(pairs(spark, *[(k, "a", "x") for k in range(40)]), path, ["k"], by)
+    old = upsert._stored(spark, path, pairs(spark, (1, "a", "x")).schema)
+    text = old.filter(F.col(upsert.PART).isin(["2"]))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*_part#\d+ = 2", text)
