@@ -9,7 +9,8 @@ undoing merges on both sides of the border in reverse order.
 
 The vocabulary file is read once on the driver and broadcast (one to two MB).
 Normalising and splitting a text into pieces is left to the components that the
-file describes. Tasks keep the encodings of recent words, at most ``MEMORY``.
+file describes, for the new words of a block at once. A worker keeps the encodings
+of recent words and pieces and the answers for recent pairs, each within ``MEMORY`` bytes.
 """
 
 from __future__ import annotations
@@ -17,10 +18,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +32,24 @@ from pyspark.sql import types as T
 from studylake.llm.shipping import map_batches
 from studylake.llm.words import blocks
 
-MEMORY = 400_000
+#: Bytes that each memory of a worker may take, about: of words, pieces and pairs of tokens.
+MEMORY = 72 << 20
+#: Longer words are encoded each time.
+LONG = 64
 
 _NEVER = 1 << 40
 _END = "\n"  # marks the end of a word; no byte is written as this character
+#: Token numbers fit into so many bits; the last one stands for no token.
+_BITS = 24
+_NONE = (1 << _BITS) - 1
+_PAIR_BYTES = 100
+_WORD_BYTES = 200
 
 
 class _Memo(dict):
-    """A dict that computes what it lacks and starts anew when it is full."""
+    """A dict that computes what it lacks and starts anew when it has ``limit`` entries."""
 
-    def __init__(self, make, limit: int = MEMORY):
+    def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit = make, limit
 
@@ -48,6 +60,18 @@ class _Memo(dict):
         return value
 
 
+class _Recent:
+    """What was asked for last: a full generation becomes the old one, and answers move up from there."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def turn(self) -> dict:
+        if len(self.now) >= self.limit:
+            self.now, self.old = {}, self.now
+        return self.now
+
+
 class Encoder:
     """Encodes and decodes with the BPE model of a ``tokenizers`` file."""
 
@@ -95,12 +119,15 @@ class Encoder:
         for string, token in vocab.items():
             ends = suffix and string.endswith(suffix)
             spelled = string[:-len(suffix)] + _END if ends else string
-            self._automaton.add_word(spelled, (len(spelled), token))
+            self._automaton.add_word(spelled, len(spelled) << _BITS | token)
         self._automaton.make_automaton()
-        self._sound = _Memo(self._is_sound)
-        self._fits = _Memo(self._is_compatible, 1_000_000)
-        self._piece = _Memo(self._encode_piece)
-        self.word = _Memo(self._encode_word)
+        if len(vocab) >= _NONE:
+            raise ValueError("too many tokens")
+        self._fits = _Memo(self._may_follow, MEMORY // _PAIR_BYTES)
+        self._words = _Recent(MEMORY // (2 * _WORD_BYTES))
+        self._pieces = _Recent(MEMORY // (2 * _WORD_BYTES))
+        top = max(self._text)
+        self._tokens = pa.array([self._text.get(i) for i in range(top + 1)], pa.string())
 
     def _merged(self, symbols: list[int]) -> list[int]:
         """All merges in order of rank, leftmost first."""
@@ -122,15 +149,23 @@ class Encoder:
         return all(s in self._symbols for s in symbols) and \
             self._merged([self._symbols[s] for s in symbols]) == [token]
 
-    def _is_compatible(self, pair: tuple[int, int]) -> bool:
+    def _may_follow(self, pair: int) -> bool:
+        """Whether the second token of a packed pair is sound and compatible with the first, if any."""
+        left, right = pair >> _BITS, pair & _NONE
+        if left == _NONE:
+            return self._is_sound(right)
+        return self._is_compatible(left, right) and (
+            self._fits[_NONE << _BITS | right])
+
+    def _is_compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of two tokens before they are complete."""
-        left, right = pair
+        joins, rank = self._joins.get, self._rank.get
         left_until = right_until = _NEVER
         while True:
-            crossing = self._joins.get((left, right))
+            crossing = joins((left, right))
             if crossing and crossing[0] < left_until and crossing[0] <= right_until:
                 return False
-            made_left, made_right = self._rank.get(left, -1), self._rank.get(right, -1)
+            made_left, made_right = rank(left, -1), rank(right, -1)
             if made_left < 0 and made_right < 0:
                 return True
             if made_left > made_right:
@@ -138,52 +173,100 @@ class Encoder:
             else:
                 right, right_until = self._halves[right][0], made_right
 
-    def _encode_piece(self, piece: str) -> list[int]:
+    def _encode_piece(self, piece: str) -> bytes:
+        """The packed ids of one piece."""
         spelled = piece + _END if self._marked else piece
-        last: list[int | None] = [None] * (len(spelled) + 1)
-        before = [0] * (len(spelled) + 1)
-        for end, (size, token) in self._automaton.iter(spelled):
-            stop = end + 1
-            if last[stop] is not None:
-                continue
-            start = stop - size
-            if self._sound[token] if start == 0 else (
-                    last[start] is not None and self._sound[token]
-                    and self._fits[last[start], token]):
-                last[stop], before[stop] = token, start
-        ids, place = [], len(spelled)
-        if last[place] is None:
+        fits, size = self._fits, len(spelled)
+        last, before = [-1] * (size + 1), [0] * (size + 1)
+        last[0] = _NONE
+        for end, match in self._automaton.iter(spelled):
+            end += 1
+            if last[end] < 0:
+                start = end - (match >> _BITS)
+                left = last[start]
+                if left >= 0 and fits[left << _BITS | match & _NONE]:
+                    last[end], before[end] = match & _NONE, start
+        if last[size] < 0:
             raise ValueError(f"the vocabulary cannot spell {piece!r}")
-        while place:
-            ids.append(last[place])
-            place = before[place]
-        return ids[::-1]
+        ids = []
+        while size:
+            ids.append(last[size])
+            size = before[size]
+        return _packed(ids[::-1])
 
-    def _encode_plain(self, text: str) -> list[int]:
+    def _encode_plain(self, text: str) -> bytes:
         pieces = self._split(self._normalize(text)) if text else []
-        return [token for piece, _ in pieces for token in self._piece[piece]]
+        return b"".join(self._encode_piece(piece) for piece, _ in pieces)
 
-    def ids(self, text: str) -> list[int]:
-        """The ids of any string; added tokens in it are recognised first."""
+    def _encode_alone(self, text: str) -> bytes:
+        """The packed ids of any string; added tokens in it are recognised first."""
         if self._cut is None or not self._cut.search(text):
             return self._encode_plain(text)
-        ids: list[int] = []
-        for part in self._cut.split(text):
-            ids += [self._special[part]] if part in self._special else self._encode_plain(part)
-        return ids
-
-    def _encode_word(self, word: str) -> bytes:
-        return np.array(self.ids(word), dtype="<u4").tobytes()
+        return b"".join(
+            _packed([self._special[part]]) if part in self._special else self._encode_plain(part)
+            for part in self._cut.split(text))
+
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Every word's packed ids; normalised and split in one call, with a blank between words.
+
+        The normaliser and the splitter see no further than a blank. Where they make other words
+        of the row of them, each is encoded alone.
+        """
+        plain = [w for w in words if self._cut is None or not self._cut.search(w)]
+        row = self._normalize(" ".join(plain))
+        parts = row.split(" ") if plain else []
+        if len(parts) != len(plain):
+            return {w: self._encode_alone(w) for w in words}
+        split = self._split(row)
+        known, old = self._pieces.turn(), self._pieces.old
+        asked = {piece for piece, _ in split}
+        ids = {piece: known.get(piece) or old.get(piece) for piece in asked}
+        new = [piece for piece in asked if ids[piece] is None]
+        ids.update((piece, self._encode_piece(piece)) for piece in new)
+        known.update((piece, i) for piece, i in ids.items() if len(piece) <= LONG)
+        found: list[bytes] = [b""] * len(plain)
+        place, end = 0, len(parts[0]) if parts else 0
+        for piece, (start, _) in split:
+            while start > end:
+                place += 1
+                end += 1 + len(parts[place])
+            found[place] += ids[piece]
+        encoded = dict(zip(plain, found))
+        encoded.update((w, self._encode_alone(w)) for w in words if w not in encoded)
+        return encoded
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as little-endian unsigned 32-bit integers."""
+        split = [None if _UNUSUAL.search(text) else text.split() for text in texts]
+        known, old = self._words.turn(), self._words.old
+        new = {w for words in split if words for w in words if w not in known}
+        known.update((w, old[w]) for w in new if w in old)
+        encoded = self._encode_words([w for w in new if w not in old])
+        known.update((w, ids) for w, ids in encoded.items() if len(w) <= LONG)
+        find = {**encoded, **known}.__getitem__ if any(len(w) > LONG for w in encoded) else known.__getitem__
+        return [
+            self._encode_alone(text) if words is None else b"".join(map(find, words))
+            for text, words in zip(texts, split)]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        if _UNUSUAL.search(text):
-            return self._encode_word(text)
-        return b"".join(map(self.word.__getitem__, text.split()))
+        return self.encode_all([text])[0]
+
+    def decode_all(self, ids: list[bytes]) -> pa.Array:
+        """The texts of packed ids: their tokens joined by blanks, as without a decoder."""
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        bounds = np.cumsum([0, *(len(i) // 4 for i in ids)])
+        tokens = self._tokens.take(pa.array(flat))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), tokens), " ")
 
     def decode(self, ids: bytes) -> str:
-        """The text of packed ids: their tokens joined by blanks, as without a decoder."""
-        return " ".join(map(self._text.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        return self.decode_all([ids])[0].as_py()
+
+
+def _packed(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 #: White space to Python alone; a text with these is not cut at blanks beforehand.
@@ -205,9 +288,26 @@ def _shared(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _added(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    fields = [f for f in docs.schema.fields if f.name != name]
-    return T.StructType([*fields, T.StructField(name, kind)])
+def _mapped(docs: DataFrame, path: str, source: str, made: list[tuple[str, T.DataType]], steps) -> DataFrame:
+    """``docs`` with the columns ``made`` by ``steps`` (encoder, block) from the column ``source``."""
+    shared = _shared(docs, path)
+    names = [name for name, _ in made]
+    kept = [f for f in docs.schema.fields if f.name not in names]
+    schema = T.StructType([*kept, *(T.StructField(*m) for m in made)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared.value)
+        for batch in batches:
+            for block in blocks(batch, source):
+                yield pa.RecordBatch.from_arrays(
+                    [*[block.column(f.name) for f in kept], *steps(encoder, block.column(source))],
+                    names=schema.names)
+
+    return map_batches(docs, run, schema)
+
+
+def _ids(encoder: Encoder, texts: pa.Array) -> list[bytes]:
+    return encoder.encode_all([t or "" for t in texts.to_pylist()])
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", name: str = "ids") -> DataFrame:
@@ -217,33 +317,28 @@ def encode(docs: DataFrame, path: str, text: str = "text", name: str = "ids") ->
     tokens around the text. A NULL text counts as empty and has no ids. Other
     columns pass unchanged; a column called ``name`` is replaced.
     """
-    shared, schema = _shared(docs, path), _added(docs, name, T.BinaryType())
-    kept = [f.name for f in schema.fields[:-1]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
-        for batch in batches:
-            for block in blocks(batch, text):
-                ids = [encoder.encode(t) if t else b"" for t in block.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[block.column(c) for c in kept], pa.array(ids, pa.binary())],
-                    names=[*kept, name])
-
-    return map_batches(docs.withColumn(text, F.col(text).cast("string")), run, schema)
+    return _mapped(
+        docs.withColumn(text, F.col(text).cast("string")), path, text, [(name, T.BinaryType())],
+        lambda encoder, texts: [pa.array(_ids(encoder, texts), pa.binary())])
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Adds ``name``: the text of the packed token ids in ``ids``; NULL ids count as none."""
-    shared, schema = _shared(docs, path), _added(docs, name, T.StringType())
-    kept = [f.name for f in schema.fields[:-1]]
+    return _mapped(
+        docs, path, ids, [(name, T.StringType())],
+        lambda encoder, packed: [encoder.decode_all([i or b"" for i in packed.to_pylist()])])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(shared.value)
-        for batch in batches:
-            for block in blocks(batch, ids):
-                texts = [encoder.decode(i) if i else "" for i in block.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*[block.column(c) for c in kept], pa.array(texts, pa.string())],
-                    names=[*kept, name])
 
-    return map_batches(docs, run, schema)
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass, without ``text``."""
+    hidden = "_llm_text"
+    texts = docs.withColumn(hidden, F.col(text).cast("string")).drop(text)
+
+    def steps(encoder: Encoder, column: pa.Array) -> list[pa.Array]:
+        packed = _ids(encoder, column)
+        return [pa.array(packed, pa.binary()), encoder.decode_all(packed)]
+
+    return _mapped(
+        texts, path, hidden, [(ids, T.BinaryType()), (decoded, T.StringType())], steps).drop(hidden)

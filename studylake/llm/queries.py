@@ -72,7 +72,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.decode(bpe.encode(docs, path).drop("text"), path).select(
+    return bpe.round_trip(docs, path).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -57,6 +57,26 @@ def test_odd_rows(spark, documents, odd_rows, library):
         assert row["decoded"] == library.decode(ids, skip_special_tokens=False)
 
 
+def test_round_trip_equals_both_directions(spark, documents, odd_rows):
+    df = documents(odd_rows)
+    one = bpe.round_trip(df, PATH)
+    assert one.columns == ["doc_id", "lang", "source", "n_chars", "key", "ids", "decoded"]
+    two = bpe.decode(bpe.encode(df, PATH), PATH).drop("text").select(one.columns)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+
+
+def test_full_memories_change_nothing(library, encoder, monkeypatch):
+    """Words and pieces are asked for again after both generations have gone."""
+    monkeypatch.setattr(encoder._words, "limit", 3)
+    monkeypatch.setattr(encoder._pieces, "limit", 2)
+    monkeypatch.setattr(encoder._fits, "limit", 5)
+    texts = ["one two three", "", "four, five; one", "two " + "x" * 200 + " six <|endoftext|>seven", "one two"] * 3
+    for start in range(0, len(texts), 2):
+        found = encoder.encode_all(texts[start:start + 2])
+        assert [unpacked(i) for i in found] == [expected(library, t) for t in texts[start:start + 2]]
+    assert len(encoder._words.now) + len(encoder._words.old) < 30
+
+
 def test_empty_table(spark, documents):
     assert bpe.decode(bpe.encode(documents([]), PATH), PATH).count() == 0
 
