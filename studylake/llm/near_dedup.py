@@ -24,11 +24,12 @@ fixed random order of its own.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studylake.llm.components import components
@@ -43,6 +44,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Hubs that a group of near copies is compared with, about.
 HUBS = 4
+#: Ratio of the sizes at the borders of a band.
+BAND_STEP = 1.05
 #: Cells of the table that orders shingles by frequency (8 MB).
 CELLS = 1 << 20
 
@@ -137,11 +140,11 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, shingles in it) over the sets of a task."""
+    """(cell, shingles in it) over the sets of a task, for the cells that it met."""
     table = np.zeros(CELLS, dtype=np.int64)
     for batch in batches:
         for found in batch.column("hashes"):
-            table += np.bincount(_cell(np.frombuffer(found.as_py(), np.uint64)), minlength=CELLS)
+            np.add.at(table, _cell(np.frombuffer(found.as_py(), np.uint64)), 1)
     cells = np.flatnonzero(table)
     yield pa.RecordBatch.from_arrays(
         [pa.array(cells, pa.int32()), pa.array(table[cells])], names=["cell", "n"])
@@ -378,8 +381,12 @@ def _prefix_pairs(
 
     At the first shingle that two sets share in the common order, at places i and j,
     they can share no more than 1 + min(n - i - 1, m - j - 1); a link needs
-    ``percent`` / (100 + ``percent``) of n + m. Per shingle, the rows outside its most
-    frequent component meet the rows of every other one.
+    ``percent`` / (100 + ``percent``) of n + m. So a row at place i can only be linked
+    with sets of at least ``percent`` % of n and at most
+    (n - i) * (100 + ``percent``) / ``percent`` - n shingles; sizes fall into bands, and
+    the band is part of the join key, so that sets which share words too common for a link
+    do not meet. Per shingle, the rows outside its most frequent component meet
+    the rows of every other one.
     """
     percent = linker.percent
     apart = _mixed(members, labels).select("key", "label").distinct()
@@ -394,16 +401,32 @@ def _prefix_pairs(
     major = materialize(
         rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_n"))
         .groupBy("shingle").agg(F.max(F.struct("_n", "label"))["label"].alias("major")))
-    few = materialize(
+    few = materialize(_fitting_bands(
         rows.join(major, "shingle").filter(F.col("label") != F.col("major"))
         .select("shingle", F.col("key").alias("x"), F.col("n").alias("nx"),
-                F.col("room").alias("rx"), F.col("label").alias("lx")))
-    met = rows.join(few, "shingle").filter(
+                F.col("room").alias("rx"), F.col("label").alias("lx")), percent))
+    met = rows.withColumn("band", _size_band(F.col("n"))).join(few, ["shingle", "band"]).filter(
         (F.col("lx") != F.col("label"))
         & (F.least("rx", "room") * (100 + percent) >= (F.col("nx") + F.col("n")) * percent))
     return _pairs(met, "x", "key")
 
 
+def _size_band(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / math.log(BAND_STEP)).cast("int")
+
+
+def _fitting_bands(rows: DataFrame, percent: int) -> DataFrame:
+    """One row per band of the sizes that a set of ``nx`` shingles with ``rx`` left may be linked with."""
+    least = F.greatest(F.ceil(F.col("nx") * percent / 100), F.lit(1))
+    most = F.least(
+        F.floor(F.col("rx") * (100 + percent) / percent) - F.col("nx"),
+        F.floor(F.col("nx") * 100 / percent))
+    return rows.withColumn("_least", least).withColumn("_most", most).filter(
+        F.col("_least") <= F.col("_most")).withColumn(
+        "band", F.explode(F.sequence(_size_band(F.col("_least")), _size_band(F.col("_most"))))).drop(
+        "_least", "_most")
+
+
 def keep_one(
     docs: DataFrame, key: str = "doc_id", text: str = "text",
     shingle: int = SHINGLE, percent: int = PERCENT,

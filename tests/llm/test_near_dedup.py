@@ -74,6 +74,34 @@ def test_chain_that_no_hub_joins(spark, documents):
     check(near_dedup.near_duplicates(documents(rows), shingle=2).collect(), rows)
 
 
+def test_template_pages_do_not_meet(spark, documents):
+    """100 common and 18 own words: similarity 0.72, so the common words must not join all pages."""
+    from pyspark.sql import functions as F
+
+    n, own = 118, 18
+    prefix = n - -(-80 * n // 100) + 1
+    rows = spark.range(300).select(
+        F.col("id").alias("x"), F.lit(n).alias("nx"), F.explode(F.sequence(F.lit(own), F.lit(prefix - 1))).alias("place"))
+    fitting = near_dedup._fitting_bands(rows.withColumn("rx", F.col("nx") - F.col("place")), 80)
+    assert fitting.count() > 0
+    assert fitting.filter(F.col("band") >= near_dedup._size_band(F.lit(n))).count() == 0
+
+
+def test_bands_lose_no_size(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(1, 60).select(F.col("id").alias("nx")).withColumn(
+        "rx", F.explode(F.sequence(F.lit(1), F.col("nx"))))
+    bands = near_dedup._fitting_bands(rows, 80).collect()
+    found = {(r["nx"], r["rx"], r["band"]) for r in bands}
+    band_of = {r["id"]: r["b"] for r in spark.range(1, 90).select("id", near_dedup._size_band(F.col("id")).alias("b")).collect()}
+    for nx in range(1, 60):
+        for rx in range(1, nx + 1):
+            for m in range(1, 90):
+                if 100 * min(m, nx) >= 80 * max(m, nx) and rx * 180 >= (nx + m) * 80:
+                    assert (nx, rx, band_of[m]) in found
+
+
 def test_odd_rows(spark, documents, odd_rows):
     found = near_dedup.near_duplicates(documents(odd_rows)).collect()
     assert len(found) == len(odd_rows)
