@@ -48,8 +48,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, packed, with their number and the text they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
-    return encoded.withColumn("n_tokens", F.floor(F.octet_length("ids") / 4)).select(
+    return bpe.round_trip(docs, path).withColumn("n_tokens", F.floor(F.octet_length("ids") / 4)).select(
         "doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded")
 
 
