@@ -694,14 +694,25 @@ def dq_distribution(t: Learning) -> DataFrame:
     "count(DISTINCT event_type) AS event_types, min(CAST(ts AS DATE)) AS earliest, "
     "max(CAST(ts AS DATE)) AS latest", "WHEN TRUE THEN 'INFO'", "events", "Overview of the table."))
 def dq_profile(t: Learning) -> DataFrame:
-    events = t.table("events")
-    return b.run_check(events, b.profile("1", {
+    return b.run_check(t.table("events"), _event_profile())
+
+
+def _event_profile() -> b.Check:
+    return b.profile("1", {
         "total_records": b.rows(),
         "users": F.countDistinct("user_id"),
         "event_types": F.countDistinct("event_type"),
         "earliest": F.min(F.to_date("ts")),
         "latest": F.max(F.to_date("ts")),
-    }))
+    }, listed=["event_type"])
+
+
+@query("dq_profile_values", """
+SELECT DISTINCT 'BRONZE' AS layer_name, 'events' AS table_name, '1' AS check_code,
+       'Table Profile' AS check_name, 'event_type' AS column_name, event_type AS value FROM events""")
+def dq_profile_values(t: Learning) -> DataFrame:
+    """The values that the profile counts, as rows."""
+    return b.check_values(t.table("events"), [_event_profile()], "BRONZE", "events")
 
 
 @query("dq_completeness", _check_sql(
