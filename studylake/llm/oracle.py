@@ -71,3 +71,64 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGIN
        CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(i.listed, '')) AS items_sha256,
        coalesce(p.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN places p USING (doc_id) LEFT JOIN items i USING (doc_id)"""
+
+
+def _field(name: str) -> str:
+    body = f"CAST({name} AS VARCHAR)"
+    return f"coalesce(strlen({body}) || ':' || {body}, '-')"
+
+
+#: One bit per step; a byte enters before the first of its eight steps.
+_CRC = (
+    "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten("
+    "[[CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split(CAST(doc_id AS VARCHAR), '')])), "
+    "lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))), 4294967295)")
+
+
+def _levels(tree: str, height: int) -> str:
+    """CTEs {tree}1 to {tree}{height}: the trees' nodes per level, runs of eight hashed; single nodes stay."""
+    steps = []
+    for k in range(height):
+        steps.append(f"""
+{tree}_runs{k} AS (SELECT g, p // 8 AS r, max(n) AS n, list(d ORDER BY p) AS ds FROM {tree}{k} WHERE n > 1 GROUP BY g, p // 8),
+{tree}{k + 1} AS (
+  SELECT g, r AS p, (n + 7) // 8 AS n, sha256(array_to_string(ds, '')) AS d FROM {tree}_runs{k}
+  UNION ALL SELECT g, p, n, d FROM {tree}{k} WHERE n = 1)""")
+    return ",".join(steps)
+
+
+def _fold(rows: str, tree: str, height: int) -> str:
+    """CTEs {rows}1 to {rows}{height}: ``rows`` with ``f`` and ``proof`` one level further each."""
+    steps = []
+    for k in range(height):
+        left, right = "array_to_string(ds[1:p % 8], '')", "array_to_string(ds[p % 8 + 2:], '')"
+        steps.append(f"""
+{rows}{k + 1} AS (
+  SELECT id, a.g, p // 8 AS p, CASE WHEN ds IS NULL THEN f ELSE sha256({left} || f || {right}) END AS f,
+         CASE WHEN ds IS NULL THEN proof ELSE proof || {left} || {right} END AS proof
+  FROM {rows}{k} a LEFT JOIN {tree}_runs{k} b ON a.g = b.g AND a.p // 8 = b.r)""")
+    return ",".join(steps)
+
+
+_TALL, _WIDE = 8, 3  # levels of 8 ** 8 documents a language and 8 ** 3 languages
+
+OP13 = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS id, *, translate(text, '{_CAPITALS}', '{_SMALL}') AS lowered,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g FROM documents),
+h AS (
+  SELECT id, g, doc_id, lang,
+         sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', 'text')))})) AS leaf,
+         sha256(concat({', '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', 'lowered')))})) AS other FROM t),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+         count(*) OVER (PARTITION BY g) AS n FROM h),
+tree0 AS (SELECT g, p, n, leaf AS d FROM leaves),{_levels('tree', _TALL)},
+top0 AS (SELECT 0 AS g, g - 1 AS p, (SELECT count(*) FROM tree{_TALL}) AS n, d FROM tree{_TALL}),{_levels('top', _WIDE)},
+at0 AS (
+  SELECT id, g, p, CASE WHEN coalesce({_CRC} % 3 = 0, false) THEN other ELSE leaf END AS f, '' AS proof
+  FROM leaves),{_fold('at', 'tree', _TALL)},
+up0 AS (SELECT id, 0 AS g, g - 1 AS p, f, proof FROM at{_TALL}),{_fold('up', 'top', _WIDE)}
+SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, sha256(u.proof) AS proof_sha256, u.f AS folded_root,
+       u.f = r.d AS verified
+FROM leaves l JOIN up{_WIDE} u USING (id) JOIN tree{_TALL} s ON s.g = l.g CROSS JOIN top{_WIDE} r"""

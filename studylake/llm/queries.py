@@ -128,7 +128,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "entropy", "rejected")
 
 
-@query("op13_merkle_manifest")
+@query("op13_merkle_manifest", oracle.OP13)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
