@@ -140,7 +140,7 @@ def remove_repeated_chunks(
 
     # the texts meet their places in one shuffle, whatever the sizes
     whole = docs.select(*carried, F.xxhash64(F.col(text)).alias("_llm_hash"))
-    known = materialize(repeated).hint("shuffle_hash")
+    known = materialize(repeated).hint("merge")
     marked = materialize(whole.join(
         known, F.col(key).eqNullSafe(F.col("_llm_key")) & (F.col("_llm_hash") == F.col("_llm_body")), "left"
     ).select(*carried, "_llm_hash", _PLACES))
@@ -255,7 +255,7 @@ def remove_repeated_passages(
     # the texts meet their places in one shuffle, whatever the sizes
     same = F.col(key).eqNullSafe(F.col("_llm_key")) & (F.col("_llm_hash") == F.col("_llm_body"))
     whole = docs.select(*carried, F.xxhash64(F.col(text)).alias("_llm_hash"))
-    known = materialize(repeated).hint("shuffle_hash")
+    known = materialize(repeated).hint("merge")
     marked = materialize(whole.join(known, same, "left").select(*carried, "_llm_hash", _PLACES))
     gone = F.transform(F.filter(F.col(_PLACES), lambda p: ~p["stays"]), lambda p: p["place"])
 
