@@ -71,6 +71,39 @@ def dedup_refuse_conflicts(t: Learning) -> DataFrame:
     )
 
 
+def _resent(t: Learning) -> DataFrame:
+    """All orders, and the finished ones of 1997 a second time, a day later and at a round price."""
+    orders = t.table("orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    late = (F.col("o_orderstatus") == "F") & (F.year("o_orderdate") == 1997)
+    again = orders.filter(late).withColumns({
+        "o_orderdate": F.expr("o_orderdate + INTERVAL 1 DAY").cast(orders.schema["o_orderdate"].dataType),
+        "o_totalprice": F.floor("o_totalprice").cast("double")})
+    return orders.unionByName(again)
+
+
+_RESENT = """
+WITH loads AS (
+  SELECT o_orderkey, o_orderdate, o_totalprice, o_orderstatus FROM orders UNION ALL
+  SELECT o_orderkey, o_orderdate + INTERVAL 1 DAY, floor(o_totalprice), o_orderstatus FROM orders
+  WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey
+    ORDER BY o_orderdate DESC, o_totalprice DESC, o_orderstatus DESC) AS rn,
+    count(DISTINCT o_totalprice) OVER (PARTITION BY o_orderkey) AS contents FROM loads)
+SELECT o_orderkey, o_orderdate, o_totalprice, o_orderstatus FROM ranked WHERE rn = 1"""
+
+
+@query("dedup_few_copies", _RESENT)
+def dedup_few_copies(t: Learning) -> DataFrame:
+    return copies.latest_by_key_facts(_resent(t), ["o_orderkey"], ["o_orderdate"])
+
+
+@query("dedup_few_conflicts", _RESENT + " AND contents = 1")
+def dedup_few_conflicts(t: Learning) -> DataFrame:
+    return copies.agreeing_by_key_facts(
+        _resent(t), ["o_orderkey"], ["o_orderdate"], fx.fingerprint([F.col("o_totalprice")]))
+
+
 @query("key_occurrences", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
        count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS key_occurrences FROM lineitem""")

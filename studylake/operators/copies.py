@@ -3,6 +3,10 @@
 None of these puts all rows of a key into one task: keeping and counting use
 aggregates that combine before the shuffle, and numbering uses a range shuffle
 that splits a large key by its order columns.
+
+``latest_per_key`` and ``keep_agreeing_latest`` are one aggregate over whole rows.
+``latest_by_key_facts`` and ``agreeing_by_key_facts`` give the same rows, but learn
+from the keys alone which of them have copies, so that other rows never move.
 """
 
 from __future__ import annotations
@@ -11,8 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from studylake.operators.ranking import with_position
+from studylake.session import materialize
 
 
 def _order_fields(
@@ -76,6 +82,76 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
+#: Types whose greatest value a hash aggregate can hold.
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+#: Share of rows with a repeated key from which one aggregate over whole rows costs less.
+MANY_COPIES = 0.5
+
+
+def _repeated_keys(
+    df: DataFrame, keys: Sequence[str], moment: str | None, content: Column | None
+) -> tuple[DataFrame, bool]:
+    """Facts about keys with several rows, written, and whether such rows are many.
+
+    The keys are renamed to ``_<key>``. ``_n`` counts the rows, ``_best`` is the greatest
+    ``moment``, ``_low`` and ``_high`` are the extremes of the content's 64-bit hash; all have a
+    fixed width, so a hash aggregate combines them before the shuffle and sorts nothing.
+    """
+    facts = [F.count(F.lit(1)).alias("_n")]
+    if moment is not None:
+        facts.append(F.max(moment).alias("_best"))
+    if content is not None:
+        hashed = F.when(content.isNotNull(), F.xxhash64(content))
+        facts += [F.min(hashed).alias("_low"), F.max(hashed).alias("_high")]
+    counted = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*facts)
+    repeated = materialize(counted.filter(F.col("_n") > 1))
+    several = repeated.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    return repeated, several > 0 and several > MANY_COPIES * df.count()
+
+
+def latest_by_key_facts(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` where most keys have one row: such rows are read, not moved.
+
+    Starts a job: the repeated keys and their greatest first order column are written from the
+    narrow columns. Their table has a known size, so it is broadcast where it is small and shuffled where
+    it is not. Of a repeated key only the rows with that greatest value are aggregated. ``df`` is read
+    again after that job. Where more than ``MANY_COPIES`` of the rows have copies, it is
+    ``latest_per_key``.
+    """
+    moment = order[0] if isinstance(df.schema[order[0]].dataType, _FIXED_WIDTH) else None
+    repeated, many = _repeated_keys(df, keys, moment, None)
+    if many:
+        return latest_per_key(df, keys, order)
+    same = same_key(df, repeated, keys)
+    newest = same if moment is None else same & df[moment].eqNullSafe(repeated["_best"])
+    latest = latest_per_key(df.join(repeated, newest, "left_semi"), keys, order)
+    return df.join(repeated, same, "left_anti").unionByName(latest)
+
+
+def agreeing_by_key_facts(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fingerprint: Column,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """``keep_agreeing_latest`` where most keys have one row: such rows are read, not moved.
+
+    As ``latest_by_key_facts``. Copies whose content hashes differ disagree for certain, so their rows
+    are left where they are; where the hashes agree, the texts themselves are compared.
+    """
+    columns = df.columns if columns is None else list(columns)
+    repeated, many = _repeated_keys(df, keys, None, fingerprint)
+    if many:
+        return keep_agreeing_latest(df, keys, order, fingerprint, columns)
+    singles = df.filter(fingerprint.isNotNull())
+    singles = singles.join(repeated, same_key(singles, repeated, keys), "left_anti").select(*columns)
+    likely = repeated.filter(F.col("_low") == F.col("_high"))
+    several = df.join(likely, same_key(df, likely, keys), "left_semi")
+    return singles.unionByName(keep_agreeing_latest(several, keys, order, fingerprint, columns))
+
+
 def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per key as ``_n``, keys renamed to ``_<key>``."""
     return df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(

@@ -51,6 +51,46 @@ def test_agreeing_copies_survive_and_others_are_refused(spark, rows):
     assert rows(kept) == [(1, 2, "a"), (3, 2, None)]
 
 
+def few_copies(spark, resent=7):
+    """Unique keys, some of them sent again; a NULL key twice, ties, one row repeated whole."""
+    data = [(i, i % 13, "x") for i in range(400)]
+    data += [(i, 20 if i % 2 else i % 13, "x" if i % 3 else "y") for i in range(0, 400, resent)]
+    return spark.createDataFrame(
+        [*data, (None, 1, "x"), (None, 2, "x"), (500, None, "x"), (500, None, "x"), (501, None, None)],
+        SCHEMA).repartition(5)
+
+
+@pytest.mark.parametrize("resent", [1, 7])  # every key, and few of them
+@pytest.mark.parametrize("order", ["t", "v"])  # of a fixed width, and not
+def test_latest_by_key_facts_equals_one_aggregate(spark, rows, resent, order):
+    table = few_copies(spark, resent)
+    assert rows(copies.latest_by_key_facts(table, ["k"], [order])) == rows(
+        copies.latest_per_key(table, ["k"], [order]))
+
+
+@pytest.mark.parametrize("content", [F.col, lambda c: F.coalesce(F.col(c), F.lit("~"))])
+@pytest.mark.parametrize("resent", [1, 7])
+def test_agreeing_by_key_facts_equals_one_aggregate(spark, rows, resent, content):
+    table = few_copies(spark, resent)
+    assert rows(copies.agreeing_by_key_facts(table, ["k"], ["t"], content("v"))) == rows(
+        copies.keep_agreeing_latest(table, ["k"], ["t"], content("v")))
+
+
+def test_texts_decide_where_content_hashes_collide(spark, rows, monkeypatch):
+    table = few_copies(spark)
+    expected = rows(copies.keep_agreeing_latest(table, ["k"], ["t"], F.col("v")))
+    monkeypatch.setattr(copies.F, "xxhash64", lambda c: F.lit(1).cast("bigint"))
+    assert rows(copies.agreeing_by_key_facts(table, ["k"], ["t"], F.col("v"))) == expected
+
+
+@pytest.mark.parametrize("find", [
+    lambda df: copies.latest_by_key_facts(df, ["k"], ["t"]),
+    lambda df: copies.agreeing_by_key_facts(df, ["k"], ["t"], F.col("v"))])
+def test_key_facts_of_an_empty_table_and_one_key(spark, rows, find):
+    assert rows(find(spark.createDataFrame([], SCHEMA))) == []
+    assert rows(find(spark.createDataFrame([(1, 2, "a")] * 9, SCHEMA))) == [(1, 2, "a")]
+
+
 def test_numbers_equal_a_window(skewed, rows):
     got = copies.number_copies(skewed, ["k"], ["t"])
     assert rows(got.select("k", "t", "v", "row_num")) == rows(numbered(skewed))

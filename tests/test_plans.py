@@ -39,6 +39,16 @@ def test_pruned_columns_do_not_reach_the_latest_row(spark, stored):
     assert "ReadSchema: struct<id:bigint>" in text
 
 
+def test_rows_of_single_keys_are_not_moved(spark, stored):
+    """Rows meet a small written table of repeated keys; only the rows of those are shuffled."""
+    wide = spark.range(2000).select("id", (F.col("id") % 9).cast("timestamp").alias("t"), F.lit("x").alias("wide"))
+    table = stored(wide.unionByName(wide.filter("id < 5")))
+    text = plan(copies.latest_by_key_facts(table, ["id"], ["t"]))
+    assert "SortMergeJoin" not in text and text.count("hashpartitioning") == 1
+    # the one shuffle stands over the rows of repeated keys
+    assert text.index("LeftAnti") < text.index("hashpartitioning") < text.index("LeftSemi")
+
+
 def test_calendar_needs_no_join(spark, stored):
     courses = stored(spark.createDataFrame(
         [("AAA", "2013J", 1)],
