@@ -112,3 +112,31 @@ def test_filter_keeps_clean_rows_as_they_are(spark, documents, odd_rows):
     rows = kept.collect()
     assert len(rows) == len(odd_rows) - 1
     assert not any("ameless" in (r["text"] or "") for r in rows)
+
+
+def test_fingerprints_are_the_first_least_grams_of_the_windows():
+    import numpy as np
+
+    draw = random.Random(5)
+    texts = [[draw.randrange(9) for _ in range(n)] for n in (0, 4, 9, 10, 11, 0, 400, 3000)]
+    bounds = np.cumsum([0, *map(len, texts)])
+    words_of = np.array([w for t in texts for w in t], dtype=np.uint64)
+    places, marks = decontamination._winnow(words_of, bounds)
+    grams = decontamination.combine(words_of, decontamination.GRAM)
+    wanted = set()
+    for text, start in zip(texts, bounds, strict=False):
+        for i in range(start, start + len(text) - 9):
+            wanted.add(min(range(i, i + 6), key=lambda p: (grams[p], p)))
+    assert places.tolist() == sorted(wanted) and (marks == grams[places]).all()
+    assert len(places) < len(words_of) / 2
+
+
+def test_a_phrase_in_many_contexts(spark, documents):
+    """Fingerprints of the phrase meet everywhere, but only equal reaches are hits."""
+    phrase = "one of the most common"
+    items = [(i, f"a{i} b{i} c{i} d{i} {phrase} e{i} f{i} g{i} h{i}") for i in range(200)]
+    docs = [(i, f"x{i} d{i} {phrase} e{i} f{i} g{i} h{i % 50} y{i}") for i in range(200)]
+    wanted = brute([t for _, t in docs], items)
+    rows = {r["doc_id"]: r for r in found(spark, documents(docs), items).collect()}
+    assert [(r["n_words"], r["n_hit"], list(r["items"])) for _, r in sorted(rows.items())] == wanted
+    assert sum(r["n_hit"] > 0 for r in rows.values()) == 50
