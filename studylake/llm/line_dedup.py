@@ -4,7 +4,9 @@ r"""Removal of repeated multi-line passages.
 neighbouring lines with words (with the blank lines between them) or one line of
 ``long_line`` words or more; a line goes when it lies in a window whose bytes
 occur at an earlier place, so a passage of two lines or more goes whole in any
-context. The place of a window is (doc_id, hash of the text, place in the text).
+context. Neighbouring lines that would go but hold fewer than ``least_words`` words
+between them stay, unless they are the whole text: a brace over a brace, or "Yes."
+over "No.", says nothing about where it came from. The place of a window is (doc_id, hash of the text, place in the text).
 
 ``remove_repeated_chunks`` is the coarser removal by content-defined chunks of
 lines, which compares whole chunks only. A text is cut into lines at ``\n``. A hash over the ``window`` lines that end at
@@ -32,6 +34,7 @@ from studylake.session import materialize
 WINDOW = 2
 DIVISOR = 4
 LONG_LINE = 50
+LEAST_WORDS = 10
 
 _CHUNK = "array<struct<start:int,size:int>>"
 _CHUNKS, _PLACES, _UNEQUAL = "_llm_chunks", "_llm_places", "_llm_unequal"
@@ -220,8 +223,22 @@ def _window_hash(window: Column) -> Column:
     return F.xxhash64(window)
 
 
+def _long_runs(units: Column, out: Column, least_words: int) -> Column:
+    """Of the units in ``out``, those in neighbouring runs of ``least_words`` words or more; all where none is left."""
+    def of_sorted(sorted_out: Column) -> Column:
+        starts = F.filter(sorted_out, lambda k, i: F.coalesce(F.get(sorted_out, i - 1) != k - 1, F.lit(True)))
+        ends = F.filter(sorted_out, lambda k, i: F.coalesce(F.get(sorted_out, i + 1) != k + 1, F.lit(True)))
+        runs = F.zip_with(starts, ends, lambda a, b: F.sequence(a, b))
+        said = F.filter(runs, lambda run: F.size(words(F.array_join(
+            F.transform(run, lambda k: F.get(units, k)["line"]), " "))) >= least_words)
+        return F.when(F.size(sorted_out) == F.size(units), sorted_out).otherwise(F.flatten(said))
+
+    return _let(F.array_sort(out), of_sorted)
+
+
 def remove_repeated_passages(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", long_line: int = LONG_LINE
+    docs: DataFrame, key: str = "doc_id", text: str = "text", long_line: int = LONG_LINE,
+    least_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """``docs`` without the lines of repeated passages; every row stays.
 
@@ -229,7 +246,8 @@ def remove_repeated_passages(
     blank lines go with the line before them. A text that loses its last word
     becomes empty, NULL stays NULL with 0 chunks. The first of equal windows is the
     least by (key, hash of the whole text, place), NULL keys first, and of every
-    line the first place stays. Rows equal in key and text lose the same lines.
+    line the first place stays; so do neighbouring lines of fewer than ``least_words``
+    words, unless the whole text would go. Rows equal in key and text lose the same lines.
     Other columns pass unchanged; ``n_chunks`` and ``n_removed`` replace columns of
     those names.
     """
@@ -291,13 +309,15 @@ def remove_repeated_passages(
             F.array_except(F.sequence(F.lit(0), F.size(units) - 1), out),
             lambda k: F.get(units, k)["whole"]), "\n")
         return F.struct(
-            F.when(F.size(out) == F.size(units), "").otherwise(F.concat(head, rest)).alias("text"),
+            F.when(F.size(out) == F.size(units), "").when(F.size(out) == 0, F.col(text))
+            .otherwise(F.concat(head, rest)).alias("text"),
             F.size(units).alias("n"), F.size(out).alias("removed"))
 
     lost = F.size(_GONE) > 0
     n_lines = _let(_split_lines(F.col(text)), lambda ls: F.size(_starts(ls)))
     whole = F.struct(F.col(text).alias("text"), n_lines.alias("n"), F.lit(0).alias("removed"))
-    cut = F.when(lost, _with_units(F.col(text), lambda units: _let(covered, lambda out: left(units, out))))
+    cut = F.when(lost, _with_units(F.col(text), lambda units: _let(
+        _long_runs(units, covered, least_words), lambda out: left(units, out))))
     # an array of one, exploded, so that no later column computes it again
     judged = judged.withColumn(_UNITS, F.explode(F.array(F.coalesce(cut, whole))))
     return judged.select(

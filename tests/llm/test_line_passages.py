@@ -21,6 +21,19 @@ def units(text):
     return out
 
 
+def long_runs(cut, gone):
+    """Lines of neighbouring runs of at least LEAST_WORDS words."""
+    out, run = set(), []
+    for k in range(len(cut) + 1):
+        if k in gone:
+            run.append(k)
+            continue
+        if sum(len(cut[j][0].encode().split()) for j in run) >= line_dedup.LEAST_WORDS:
+            out.update(run)
+        run = []
+    return out
+
+
 def brute(rows):
     """{key: (lines with words, removed, text)}; distinct keys, NULL first, and no blank lines at the top."""
     seen, out = set(), {}
@@ -35,6 +48,8 @@ def brute(rows):
             if len(line.encode().split()) >= line_dedup.LONG_LINE:
                 gone |= {k} if line in seen else set()
                 seen.add(line)
+        if len(gone) < len(cut):
+            gone = long_runs(cut, gone)
         rest = "\n".join(whole for k, (_, whole) in enumerate(cut) if k not in gone)
         out[key] = len(cut), len(gone), rest if gone else text
     return out
@@ -61,6 +76,8 @@ def test_short_passages_go_whole_in_any_context(spark, documents, n):
     draw = random.Random(n)
     line = liner(draw)
     shared = [line() for _ in range(n)]
+    while sum(len(x.split()) for x in shared) < line_dedup.LEAST_WORDS:
+        shared = [line() for _ in range(n)]
     around = [([line() for _ in range(draw.randrange(0, 5))], [line() for _ in range(draw.randrange(0, 5))])
               for _ in range(60)]
     rows = [(i, "\n".join(a + shared + b)) for i, (a, b) in enumerate(around)]
@@ -71,20 +88,32 @@ def test_short_passages_go_whole_in_any_context(spark, documents, n):
 
 
 def test_blank_lines_repeats_and_null_keys(spark, documents):
-    block = "first line here\n\nsecond line here\nthird line here"
-    rows = [(1, "\n\n" + block + "\nown end"), (2, "own start\n \n" + block + "\n\nanother end"),
-            (3, "\n".join([block] * 4)), (4, "first line here\nsecond line here"), (5, "third line here"),
-            (None, "third line here\nown end"), (6, "same\nsame\nsame"), (7, None), (8, ""), (9, " \n\n")]
+    block = "first line here\n\nsecond line here of some more words\nthird line here and more"
+    rows = [(1, "\n\n" + block + "\nown end of some six words"), (2, "own start\n \n" + block + "\n\nanother end"),
+            (3, "\n".join([block] * 4)), (4, "first line here\nsecond line here of some more words"),
+            (5, "third line here and more"), (None, "third line here and more\nown end of some six words"),
+            (6, "\n".join(["same line of six whole words"] * 3)), (7, None), (8, ""), (9, " \n\n")]
     found = result(line_dedup.remove_repeated_passages(documents(rows)))
     assert found[None][1] == 0  # NULL keys come first
-    assert found[1] == (4, 2, "\n\nfirst line here\n\nsecond line here")
+    assert found[1] == (4, 2, "\n\nfirst line here\n\nsecond line here of some more words")
     assert found[2] == (5, 3, "own start\n \nanother end")
     assert found[3] == brute(rows)[3]
     assert found[4][1] == found[5][1] == 0  # other bytes between the lines; one short line
-    assert found[6] == (3, 2, "same")
+    assert found[6] == (3, 2, "same line of six whole words")
     assert [found[i] for i in (7, 8, 9)] == [(0, 0, None), (0, 0, ""), (0, 0, " \n\n")]
 
 
+def test_short_lines_that_meet_by_chance_stay(spark, documents):
+    """Few words between other lines stay; a text that is nothing else goes."""
+    code = [f"def f{i}(a{i}):\n  for x{i} in a{i}:\n    if x{i}:\n      g{i}(x{i})\n    }}\n  }}\n}}" for i in range(5)]
+    talk = [f"Is it number {i} on the list?\nYes.\nNo.\nThen what of {i} more?" for i in range(5)]
+    rows = list(enumerate([*code, *talk, "Yes.\nNo.", "Yes.\nNo."]))
+    found = result(line_dedup.remove_repeated_passages(documents(rows)))
+    assert found == brute(rows)
+    assert all(found[i][1:] == (0, text) for i, text in rows[:10])
+    assert [found[i][2] for i in (10, 11)] == ["", ""]
+
+
 def test_only_bytes_decide(spark, documents, monkeypatch):
     """With a hash that is always the same, the result is still that of the texts."""
     draw = random.Random(3)
