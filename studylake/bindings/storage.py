@@ -23,8 +23,9 @@ def _moment(day: str = AS_OF):
     return F.lit(day).cast("timestamp")
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("escape", '"').option(
+def _write_csv(df: DataFrame, path: str, most: int = 0) -> None:
+    """``df`` as CSV files, each of ``most`` rows at most (0: no limit)."""
+    df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", most).option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
@@ -53,6 +54,13 @@ def csv_inferred(t: Learning) -> DataFrame:
 
 _COUNTED = ("region", "nation", "customer", "orders", "lineitem", "events")
 
+#: Rows of a file at most; smaller tables become about three files.
+_FILE_ROWS = 1_000_000
+
+
+def _file_rows(df: DataFrame) -> int:
+    return min(df.count() // 3 + 1, _FILE_ROWS)
+
 
 @query("csv_source_counts", " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, DATE '2024-01-09' AS LoadDate, count(*) AS row_count FROM {name}"
@@ -62,7 +70,7 @@ def csv_source_counts(t: Learning) -> DataFrame:
     found = None
     for name in _COUNTED:
         path = _place(t, f"{name} 100%20 \u00e9t\u00e9")
-        _write_csv(t.table(name).repartition(3), path)
+        _write_csv(t.table(name), path, _file_rows(t.table(name)))
         counts = raw.source_row_counts(
             t.spark, path, raw.load_date(_moment().cast("date")), _moment())
         counts = counts.groupBy(F.lit(name).alias("table_name"), "LoadDate").agg(
