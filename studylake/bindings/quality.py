@@ -761,6 +761,7 @@ FROM (SELECT (SELECT count(*) FROM {c}) AS child_rows,
         ("dim_student_enrollment", "dim_course", "course_id"),
         ("fact_student_engagement", "dim_student_enrollment", "student_enrollment_id")))))
 def relationship_check(t: Learning) -> DataFrame:
+    t.store("gold", "dim_student_enrollment")
     checks = [
         audit.relationship_check(t.gold[child], t.gold[parent], [on], f"{child}_{parent}")
         for child, parent, on in gold.RELATIONSHIPS

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studylake.operators import joins
 from studylake.operators.upsert import merge_upsert
 from studylake.quality.report import one_row
 from studylake.session import materialize
@@ -86,20 +85,22 @@ def relationship_check(
 ) -> DataFrame:
     """A many-to-one relationship: the parent key is unique and no child is orphaned.
 
-    A NULL child key refers to nothing and is counted apart from orphans.
+    A NULL child key refers to nothing and is counted apart from orphans. Both sides
+    meet as counts per key in one aggregate, so each is read once and a hot key is one row.
     """
     complete = F.lit(True)
     for column in on:
         complete = complete & F.col(column).isNotNull()
-    referring = child.filter(complete)
-    repeated = parent.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return one_row(
-        child.agg(
-            F.count(F.lit(1)).alias("child_rows"),
-            F.count_if(~complete).alias("null_keys"),
-        ),
-        joins.orphan_count(referring, parent, on),
-        repeated.agg(F.count(F.lit(1)).alias("repeated_parents")),
+    children, parents = F.col("_children"), F.col("_parents")
+    sides = child.select(*on, F.lit(1).alias("_children"), F.lit(0).alias("_parents")).union(
+        parent.select(*on, F.lit(0), F.lit(1)))
+    per_key = sides.groupBy(*on).agg(
+        F.sum(children).alias("_children"), F.sum(parents).alias("_parents"))
+    return per_key.agg(
+        F.coalesce(F.sum(children), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(~complete, children)), F.lit(0)).alias("null_keys"),
+        F.coalesce(F.sum(F.when(complete & (parents == 0), children)), F.lit(0)).alias("orphans"),
+        F.count_if(parents > 1).alias("repeated_parents"),
     ).select(
         F.lit(name).alias("relationship"), "child_rows", "null_keys", "orphans",
         "repeated_parents",

@@ -87,12 +87,13 @@ def remove_folder(path: str) -> None:
         files.delete_dir(place)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, file_rows: int = 0) -> DataFrame:
     """``df`` written as a table in the scratch folder and read back.
 
     Cuts the lineage and fixes every value, so partition-dependent columns stay
-    what they were when an executor is lost. Readers still prune columns.
+    what they were when an executor is lost. Readers still prune columns. With ``file_rows``
+    no file has more rows: narrow rows compress so well that a task would else read too many.
     """
     path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
