@@ -67,7 +67,8 @@ WHERE s.id_assessment IS NULL OR r.row_num > 1"""
 
 
 def _refused(t: Learning, spec: cleaning.CleanSpec) -> DataFrame:
-    return refusals.refused_rows(t.bronze[spec.table], t.silver[spec.table], spec)
+    bronze = t.store("bronze", spec.table)
+    return refusals.refused_rows(bronze, t.silver[spec.table], spec)
 
 
 @query("refused_rows", q.with_(_REFUSED_ASSESSMENTS))
@@ -115,7 +116,7 @@ FROM (SELECT (SELECT count(*) FROM b_{table}) AS bronze_records,
 
 
 def _accounting(t: Learning, spec: cleaning.CleanSpec) -> DataFrame:
-    bronze, silver = t.bronze[spec.table], t.silver[spec.table]
+    bronze, silver = t.store("bronze", spec.table), t.store("silver", spec.table)
     lost = refusals.refused_count(spec.parse(bronze), silver, spec.keys)
     return refusals.row_accounting(bronze, silver, lost)
 
@@ -211,6 +212,7 @@ def rejected_reasons(t: Learning) -> DataFrame:
 
 def _submission_layers(t: Learning) -> list[DataFrame]:
     names = ("student_assessment", "assessments", "student_info", "student_registration")
+    t.store("silver", "student_assessment")
     return [t.silver[n] for n in names]
 
 
@@ -480,6 +482,7 @@ _SOME_STUDENT = "(SELECT count(*) FROM s_student_info) > 0"
     refused=_REFUSED_SUBMISSIONS, evaluated=_EVAL_SUBMISSIONS,
 ))
 def dq_silver_submissions(t: Learning) -> DataFrame:
+    t.store("bronze", "student_assessment")
     return structured.silver_submission_report(
         *_submission_layers(t), t.bronze["student_assessment"], _as_of().cast("timestamp")
     )

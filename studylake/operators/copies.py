@@ -28,6 +28,20 @@ def _order_fields(
     return [*order, *[c for c in columns if c not in keys and c not in order]]
 
 
+#: Types whose greatest value a hash aggregate can hold.
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _numbers_first(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The keys, numbers before texts: rows are sorted by them, and texts share long prefixes."""
+    return sorted(keys, key=lambda k: not isinstance(df.schema[k].dataType, _FIXED_WIDTH))
+
+
+def descending(columns: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> list[Column]:
+    """The total order, newest first, in which copies of a key are numbered."""
+    return [F.col(c).desc_nulls_last() for c in _order_fields(columns, keys, order)]
+
+
 def collapse_copies(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,7 +64,7 @@ def collapse_copies(
     if fingerprint is not None:
         df = df.withColumn("_content", fingerprint)
         aggregates.append((F.min("_content") != F.max("_content")).alias("key_conflict"))
-    grouped = df.groupBy(*keys).agg(*aggregates)
+    grouped = df.groupBy(*_numbers_first(df, keys)).agg(*aggregates)
     flags = [c for c in grouped.columns if c not in keys and c != "_best"]
     payload = [F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in columns]
     return grouped.select(*payload, *flags)
@@ -82,9 +96,6 @@ def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-#: Types whose greatest value a hash aggregate can hold.
-_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-
 #: Share of rows with a repeated key from which one aggregate over whole rows costs less.
 MANY_COPIES = 0.5
 
@@ -196,9 +207,7 @@ def number_counted(
     several = df.filter(F.col(count) > 1)
     if compared:
         several = several.withColumn(content, fingerprint)
-    ordering = [F.col(k).asc() for k in keys] + [
-        F.col(c).desc_nulls_last() for c in _order_fields(columns, keys, order)
-    ]
+    ordering = [F.col(k).asc() for k in keys] + descending(columns, keys, order)
     placed = with_position(several.drop(count), ordering, name="_position", ties=True)
     starts = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.min("_position").alias("_start"),
