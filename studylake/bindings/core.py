@@ -496,6 +496,13 @@ def _facts(t: Learning) -> tuple[DataFrame, DataFrame]:
     return t.gold["fact_student_engagement"], t.gold["fact_student_performance"]
 
 
+def _enrolled(t: Learning, *columns: str) -> DataFrame:
+    """Enrollment ids and ``columns``, stored for queries that meet them more than once; the courses too."""
+    t.store("silver", "courses")
+    ids = ("student_enrollment_id", "student_id", "course_id")
+    return t.store("gold", "dim_student_enrollment", *ids, *columns)
+
+
 @query("engagement_performance", q.with_(f"""
 SELECT student_enrollment_id, total_clicks, active_days, {q.rnd('avg_score', 4)} AS avg_score,
        {q.rnd('total_weighted_score', 4)} AS total_weighted_score, assessment_count,
@@ -503,6 +510,7 @@ SELECT student_enrollment_id, total_clicks, active_days, {q.rnd('avg_score', 4)}
             assessment_count NULLS FIRST) AS INT) AS engagement_quartile
 FROM g_activity"""))
 def engagement_performance(t: Learning) -> DataFrame:
+    _enrolled(t)
     return analytics.engagement_performance(*_facts(t)).withColumns({
         "avg_score": F.round("avg_score", 4),
         "total_weighted_score": F.round("total_weighted_score", 4),
@@ -533,6 +541,7 @@ SELECT count(*) AS enrollments, {q.rnd('corr(total_clicks, avg_score)', 6)} AS c
        {q.rnd('corr(active_days, avg_score)', 6)} AS days_vs_score
 FROM g_activity WHERE student_enrollment_id IS NOT NULL AND avg_score IS NOT NULL"""))
 def q1_correlation(t: Learning) -> DataFrame:
+    _enrolled(t)
     return analytics.activity_score_correlation(*_facts(t)).withColumns({
         c: F.round(c, 6) for c in ("clicks_vs_score", "days_vs_score")
     })
@@ -553,12 +562,14 @@ GROUP BY 1""")
 
 @query("q2_engagement_by_result", _by_result_sql("g_engagement"))
 def q2_engagement_by_result(t: Learning) -> DataFrame:
-    return analytics.engagement_by_result(_facts(t)[0], t.gold["dim_student_enrollment"])
+    enrolled = _enrolled(t, "final_result")
+    return analytics.engagement_by_result(_facts(t)[0], enrolled)
 
 
 @query("q3_early_indicators", _by_result_sql("(SELECT * FROM g_engagement WHERE week_id <= 4)"))
 def q3_early_indicators(t: Learning) -> DataFrame:
-    return analytics.early_engagement_by_result(_facts(t)[0], t.gold["dim_student_enrollment"])
+    enrolled = _enrolled(t, "final_result")
+    return analytics.early_engagement_by_result(_facts(t)[0], enrolled)
 
 
 @query("q4_withdrawal_timing", q.with_(f"""
@@ -580,7 +591,8 @@ FROM (SELECT *, {q.week('(interaction_date - date_unregistration)')} AS weeks_to
       WHERE date_unregistration IS NOT NULL)
 WHERE weeks_to_exit BETWEEN -8 AND 0 GROUP BY 1"""))
 def q5_decline_before_withdrawal(t: Learning) -> DataFrame:
-    return analytics.activity_before_withdrawal(_facts(t)[0], t.gold["dim_student_enrollment"])
+    enrolled = _enrolled(t, "date_unregistration")
+    return analytics.activity_before_withdrawal(_facts(t)[0], enrolled)
 
 
 @query("q6_score_trajectory", q.with_(f"""
@@ -592,7 +604,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY student_enrollment_id
       USING (student_enrollment_id))
 GROUP BY 1"""))
 def q6_score_trajectory(t: Learning) -> DataFrame:
-    return analytics.scores_before_withdrawal(_facts(t)[1], t.gold["dim_student_enrollment"])
+    enrolled = _enrolled(t, "final_result")
+    return analytics.scores_before_withdrawal(_facts(t)[1], enrolled)
 
 
 @query("q7_peak_weeks", q.with_(f"""

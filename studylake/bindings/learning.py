@@ -74,11 +74,15 @@ class Learning:
     def table(self, name: str) -> DataFrame:
         return self._tables[name]
 
-    def store(self, layer: str, name: str) -> DataFrame:
-        """A table of ``bronze``, ``silver`` or ``gold``, written now and read by all that follows."""
+    def store(self, layer: str, name: str, *columns: str) -> DataFrame:
+        """A table of ``bronze``, ``silver`` or ``gold``, written now and read by all that follows.
+
+        With ``columns`` only these, so that what the query does not read is not computed.
+        """
         frames = getattr(self, layer)
         if (layer, name) not in self._stored:
-            frames[name] = materialize(frames[name], _FILE_ROWS)
+            frame = frames[name].select(*columns) if columns else frames[name]
+            frames[name] = materialize(frame, _FILE_ROWS)
             self._stored.add((layer, name))
         return frames[name]
 
@@ -92,13 +96,16 @@ class Learning:
             .agg(_text(days).alias("module_presentation_length"))
         )
         length = "module_presentation_length"
-        first = base.select(F.col("m").alias("code_module"), F.col("p").alias(
-            "code_presentation"), length)
-        again = base.select(
-            F.concat(F.lit(" "), F.lower("m"), F.lit(" ")).alias("code_module"),
-            F.lower("p").alias("code_presentation"), length,
-        )
-        return _loaded(first, FIRST_LOAD).unionByName(_loaded(again, SECOND_LOAD))
+        first, second = [F.lit(day).cast("timestamp") for day in (FIRST_LOAD, SECOND_LOAD)]
+        again = F.concat(F.lit(" "), F.lower("m"), F.lit(" ")), F.lower("p"), second
+        loads = [
+            F.struct(m.alias("m"), p.alias("p"), day.alias("_load"))
+            for m, p, day in ((F.col("m"), F.col("p"), first), again)
+        ]
+        rows = base.select(F.inline(F.array(*loads)).alias("code_module", "code_presentation", "_load"),
+                           length)
+        return _loaded(rows.select("code_module", "code_presentation", length, "_load"),
+                       F.col("_load")).drop("_load")
 
     def _parts(self) -> DataFrame:
         size, brand = F.col("p_size"), F.substring("p_brand", 7, 2).cast("int")
@@ -232,23 +239,29 @@ class Learning:
             "ingestion_timestamp", "ingestion_date",
         )
 
-    def _lines(self) -> DataFrame:
+    def _lines(self, *own: Column) -> DataFrame:
+        """Line items beside their order. With ``own``, columns of the line alone, both are narrow before they meet.
+
+        The orders of a shuffle partition are hashed, so that neither side is sorted.
+        """
         orders = self.table("orders").select(
             "o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"
         )
-        return self.table("lineitem").join(
-            orders, F.col("l_orderkey") == F.col("o_orderkey")
+        lines = self.table("lineitem")
+        if own:
+            orders = orders.withColumn("o_orderdate", F.to_date("o_orderdate"))
+            shipped = F.to_date("l_shipdate").alias("l_shipdate")
+            lines = lines.select("l_orderkey", "l_partkey", shipped, *own)
+        return lines.join(
+            orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey")
         ).withColumn("day", F.datediff("l_shipdate", "o_orderdate"))
 
     def student_assessment(self) -> DataFrame:
         tax, discount, flag = F.col("l_tax"), F.col("l_discount"), F.col("l_returnflag")
         quantity, student = F.col("l_quantity").cast("int"), _text(F.col("o_custkey"))
         first, second = [F.lit(day).cast("timestamp") for day in (FIRST_LOAD, SECOND_LOAD)]
-        rows = self._lines().select(
-            _text(F.col("l_partkey")).alias("id_assessment"),
-            F.when((F.col("l_linenumber") == 7) & (tax == 0.0), F.concat(F.lit("S"), student))
-            .otherwise(student).alias("id_student"),
-            _text(F.col("day")).alias("date_submitted"),
+        lines = self._lines(
+            ((F.col("l_linenumber") == 7) & (tax == 0.0)).alias("_marked"),
             _case(
                 (tax == 0.08, "2"), ((tax == 0.0) & (flag == "R"), F.lit(None).cast("string")),
                 (flag == "A", "1"), default="0",
@@ -258,19 +271,28 @@ class Learning:
                 (discount == 0.0, "NaN"), ((discount == 0.08) & (quantity > 48), "abc"),
                 (quantity > 49, "101"), default=_text(quantity * 2),
             ).alias("score"),
-            F.explode(F.when(flag == "R", F.array(first, second)).otherwise(F.array(first))).alias(
+            (flag == "R").alias("_again"),
+        )
+        rows = lines.select(
+            _text(F.col("l_partkey")).alias("id_assessment"),
+            F.when(F.col("_marked"), F.concat(F.lit("S"), student))
+            .otherwise(student).alias("id_student"),
+            _text(F.col("day")).alias("date_submitted"),
+            "is_banked", "score",
+            F.explode(F.when(F.col("_again"), F.array(first, second)).otherwise(F.array(first))).alias(
                 "_load"),
         )
         return _loaded(rows, F.col("_load")).drop("_load")
 
     def student_vle(self) -> DataFrame:
-        return _loaded(self._lines().select(
+        clicks = (F.col("l_quantity").cast("int") - 1).alias("_clicks")
+        return _loaded(self._lines(clicks).select(
             F.lower("o_orderpriority").alias("code_module"),
             _presentation().alias("code_presentation"),
             _text(F.col("o_custkey")).alias("id_student"),
             _text(F.col("l_partkey")).alias("id_site"),
             _text(F.col("day")).alias("date"),
-            _text(F.col("l_quantity").cast("int") - 1).alias("sum_click"),
+            _text(F.col("_clicks")).alias("sum_click"),
         ), FIRST_LOAD)
 
     @cached_property
