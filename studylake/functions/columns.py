@@ -129,9 +129,8 @@ def present(condition: Column) -> Column:
 
 def reasons(violations: Mapping[str, Column]) -> Column:
     """Names of all violated conditions, in order."""
-    return F.array_compact(
-        F.array(*[F.when(present(cond), F.lit(name)) for name, cond in violations.items()])
-    )
+    named = [F.when(present(cond), F.lit(name)).otherwise("") for name, cond in violations.items()]
+    return F.array_remove(F.array(*named), "")
 
 
 def first_reason(

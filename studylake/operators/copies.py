@@ -175,10 +175,11 @@ def with_key_occurrences(
 ) -> DataFrame:
     """Add the number of rows that share the key, NULL keys counting as one key.
 
-    Only repeated keys are joined back. In clean data they are few, and the wide
-    rows then meet a small adaptive broadcast instead of a shuffle.
+    Only repeated keys are joined back. They are written by a job of their own, so their
+    size is known when the wide rows are planned: few of them are broadcast, and the
+    rows are not shuffled.
     """
-    repeated = key_counts(df, keys).filter(F.col("_n") > 1)
+    repeated = materialize(key_counts(df, keys).filter(F.col("_n") > 1))
     return df.join(repeated, same_key(df, repeated, keys), "left").select(
         *[df[c] for c in df.columns],
         F.coalesce(F.col("_n"), F.lit(1)).alias(name),

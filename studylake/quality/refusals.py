@@ -163,9 +163,11 @@ def row_accounting(bronze: DataFrame, silver: DataFrame, refused: DataFrame) ->
 def rejected_rows(
     evaluated: DataFrame, rules: Mapping[str, Column], keep: Sequence[str]
 ) -> DataFrame:
-    """Silver rows that break a rule, once each, with every reason."""
-    return (
-        evaluated.withColumn("reject_reasons", fx.reasons(rules))
-        .filter(F.size("reject_reasons") > 0)
-        .select(*keep, "reject_reasons")
-    )
+    """Silver rows that break a rule, once each, with every reason.
+
+    The filter asks the rules, so that the reasons are put together once and not for it too.
+    """
+    broken = F.lit(False)
+    for rule in rules.values():
+        broken = broken | fx.present(rule)
+    return evaluated.filter(broken).select(*keep, fx.reasons(rules).alias("reject_reasons"))

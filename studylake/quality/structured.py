@@ -472,7 +472,10 @@ def evaluate_submissions(
     info: DataFrame,
     registration: DataFrame,
 ) -> DataFrame:
-    """Silver submissions with their assessment, enrollment and registration beside them."""
+    """Silver submissions with their assessment, enrollment and registration beside them.
+
+    The student is looked up before the assessment, whose codes make the rows wider.
+    """
     course = ["code_module", "code_presentation"]
     enrollment = ["id_student", *course]
     parent = assessments.select(
@@ -482,8 +485,8 @@ def evaluate_submissions(
         *enrollment, "num_of_prev_attempts", F.lit(True).alias("matched_enrollment")
     )
     rows = copies.with_key_occurrences(submissions, ["id_assessment", "id_student"])
-    rows = joins.lookup(rows, parent, ["id_assessment"])
     rows = joins.flag_matches(rows, info, ["id_student"], "student_exists_anywhere")
+    rows = joins.lookup(rows, parent, ["id_assessment"])
     both = enrolled.dropna(subset=enrollment).join(
         registration.select(*enrollment, "date_registration").dropna(subset=enrollment),
         enrollment, "full")
